@@ -50,7 +50,7 @@ def main(argv: list[str]) -> int:
     from ledgerlark.registry import load_all
     load_all()
     spark = session.build("local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                         "spark.driver.memory": "12g"})
+                                         "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     db, bad = database(path), 0
     names = [n for n in QUERIES if not argv[1:] or any(n.startswith(p) for p in argv[1:])]
