@@ -4,7 +4,7 @@ A plain window holds one key in one task. Here a key with more than ``hot_rows``
 into time slices that are processed apart, and what earlier slices contribute is carried over
 through one summary row per (key, slice); the number of slices of a key is bounded by the
 calendar. Without busy keys the plan is the plain window with a single shuffle. ``hot_rows=0``
-slices every key. Keys must not be null.
+slices every key, ``None`` none. Keys must not be null.
 
 A sliding sum is a running sum with expiries: a row adds its value at its own time and takes
 it back ``seconds`` later. Look-back windows are ``[t - seconds, t)``: rows at the same instant
@@ -33,11 +33,22 @@ def _slice(us: Column, seconds: int) -> Column:
     return ((us - F.pmod(us, size)) / size).cast("bigint")
 
 
-def with_slices(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int, seconds: int) -> tuple[DataFrame, bool]:
+def busy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+
+
+def no_busy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> bool:
+    """Whether every key stays within ``hot_rows``. Then finer keys do too, and ``hot_rows=None`` skips their count."""
+    return hot_rows is None or (hot_rows > 0 and busy_keys(df, keys, hot_rows).isEmpty())
+
+
+def with_slices(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int | None, seconds: int) -> tuple[DataFrame, bool]:
     """Add ``_slice``; True when some key was cut. The list of busy keys is broadcast after counting it."""
+    if hot_rows is None:
+        return df.withColumn("_slice", F.lit(0).cast("bigint")), False
     if hot_rows <= 0:
         return df.withColumn("_slice", _slice(F.col(us), seconds)), True
-    busy = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+    busy = busy_keys(df, keys, hot_rows)
     n = busy.count()
     if n == 0:
         return df.withColumn("_slice", F.lit(0).cast("bigint")), False
@@ -47,55 +58,68 @@ def with_slices(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int, seco
     return marked.withColumn("_slice", cut.cast("bigint")).drop("_busy"), True
 
 
-def running_before(df: DataFrame, keys: Sequence[str], us: str, sums: Mapping[str, str], hot_rows: int = HOT_ROWS,
-                   seconds: int = SLICE_SECONDS) -> DataFrame:
-    """For each ``out: column`` add the sum of ``column`` over rows of the key strictly before this instant."""
+def running_before(df: DataFrame, keys: Sequence[str], us: str, sums: Mapping[str, str], latest: Mapping[str, str] = {},
+                   hot_rows: int | None = HOT_ROWS, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """Add values over the rows of the key strictly before this instant.
+
+    ``sums`` maps a new column to the column to add up; ``latest`` maps a new column to a struct
+    column that starts with the time, of which the largest (= latest) one is taken.
+    """
     df, cut = with_slices(df, keys, us, hot_rows, seconds)
     zero = F.lit(0)
     inside = Window.partitionBy(*keys, "_slice").orderBy(us).rangeBetween(Window.unboundedPreceding, -1)
-    out = df.select("*", *[F.coalesce(F.sum(c).over(inside), zero).alias(o) for o, c in sums.items()])
+    out = df.select(
+        "*",
+        *[F.coalesce(F.sum(c).over(inside), zero).alias(o) for o, c in sums.items()],
+        *[F.max(c).over(inside).alias(o) for o, c in latest.items()],
+    )
     if cut:
         earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        totals = df.groupBy(*keys, "_slice").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()])
+        totals = df.groupBy(*keys, "_slice").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()],
+                                                 *[F.max(c).alias(f"_t_{o}") for o, c in latest.items()])
         carried = totals.select(
-            *keys, "_slice", *[F.coalesce(F.sum(f"_t_{o}").over(earlier), zero).alias(f"_c_{o}") for o in sums])
+            *keys, "_slice", *[F.coalesce(F.sum(f"_t_{o}").over(earlier), zero).alias(f"_c_{o}") for o in sums],
+            *[F.max(f"_t_{o}").over(earlier).alias(f"_c_{o}") for o in latest])
         out = out.join(carried, [*keys, "_slice"])
-        out = out.withColumns({o: F.col(o) + F.col(f"_c_{o}") for o in sums}).drop(*[f"_c_{o}" for o in sums])
+        out = out.withColumns({**{o: F.col(o) + F.col(f"_c_{o}") for o in sums},
+                               **{o: F.coalesce(o, f"_c_{o}") for o in latest}})
+        out = out.drop(*[f"_c_{o}" for o in [*sums, *latest]])
     return out.drop("_slice")
 
 
-def with_expiries(df: DataFrame, us: str, windows: Mapping[str, tuple[Column, int]],
-                  keep: Sequence[str]) -> DataFrame:
+def with_expiries(df: DataFrame, us: str, windows: Mapping[str, tuple[Column, int | None]],
+                  keys: Sequence[str], carry: Sequence[str]) -> DataFrame:
     """Rows of ``df`` (``_own`` true) followed by one expiry row per distinct window length.
 
-    ``windows`` maps a measure name to (value, seconds). ``keep`` are the columns that every row
-    needs. On an own row a measure column holds the value, on its expiry row the negated value.
+    ``windows`` maps a measure name to (value, seconds); without seconds it never expires. On an
+    own row a measure column holds the value, on its expiry row the negated value. The ``carry``
+    columns are null on expiry rows.
     """
-    lengths = sorted({s for _, s in windows.values()})
+    lengths = sorted({s for _, s in windows.values() if s})
     stretched = df.withColumns({m: v for m, (v, _) in windows.items()}).withColumn(
         "_after", F.explode(F.array(*[F.lit(s).cast("bigint") for s in [0, *lengths]])))
     own = F.col("_after") == 0
     signed = {
-        m: F.when(own, F.col(m)).when(F.col("_after") == s, -F.col(m))
+        m: F.when(own, F.col(m)).when(F.col("_after") == s, -F.col(m)) if s else F.when(own, F.col(m))
         for m, (_, s) in windows.items()
     }
     return stretched.select(
-        *keep, (F.col(us) + F.col("_after") * 1_000_000).alias("_us"), own.alias("_own"),
-        *[v.alias(m) for m, v in signed.items()],
+        *keys, (F.col(us) + F.col("_after") * 1_000_000).alias("_us"), own.alias("_own"),
+        *[F.when(own, F.col(c)).alias(c) for c in carry], *[v.alias(m) for m, v in signed.items()],
     )
 
 
 def rolling_sums(df: DataFrame, keys: Sequence[str], ts: str, row_id: str,
-                 windows: Mapping[str, tuple[Column, int]], hot_rows: int = HOT_ROWS,
+                 windows: Mapping[str, tuple[Column, int]], hot_rows: int | None = HOT_ROWS,
                  seconds: int = SLICE_SECONDS) -> DataFrame:
     """``row_id`` with one look-back sum per entry of ``windows`` (name: (value, seconds))."""
     base = df.withColumn("_t", micros(ts))
-    stream = with_expiries(base, "_t", windows, [*keys, row_id])
-    sums = running_before(stream, keys, "_us", {f"_r_{m}": m for m in windows}, hot_rows, seconds)
+    stream = with_expiries(base, "_t", windows, keys, [row_id])
+    sums = running_before(stream, keys, "_us", {f"_r_{m}": m for m in windows}, hot_rows=hot_rows, seconds=seconds)
     return sums.filter("_own").select(row_id, *[F.col(f"_r_{m}").alias(m) for m in windows])
 
 
-def neighbours(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int = HOT_ROWS,
+def neighbours(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int | None = HOT_ROWS,
                seconds: int = SLICE_SECONDS) -> DataFrame:
     """Add ``_prev`` and ``_next``: times of the neighbouring rows of the key in time order."""
     df, cut = with_slices(df, keys, us, hot_rows, seconds)
@@ -115,7 +139,7 @@ def neighbours(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int = HOT_
     return out.drop("_slice")
 
 
-def distinct_deltas(df: DataFrame, keys: Sequence[str], value: str, us: str, length: int, hot_rows: int = HOT_ROWS,
+def distinct_deltas(df: DataFrame, keys: Sequence[str], value: str, us: str, length: int, hot_rows: int | None = HOT_ROWS,
                     seconds: int = SLICE_SECONDS) -> DataFrame:
     """Changes of the number of distinct ``value`` in a look-back window: (keys, ``_us``, ``_delta``).
 
@@ -135,14 +159,14 @@ def distinct_deltas(df: DataFrame, keys: Sequence[str], value: str, us: str, len
 
 
 def rolling_distinct(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, counts: Mapping[str, tuple[str, int]],
-                     hot_rows: int = HOT_ROWS, seconds: int = SLICE_SECONDS) -> DataFrame:
+                     hot_rows: int | None = HOT_ROWS, seconds: int = SLICE_SECONDS) -> DataFrame:
     """``row_id`` with the number of distinct values per entry of ``counts`` (name: (column, seconds))."""
     base = df.withColumn("_us", micros(ts))
     rows = base.select(*keys, "_us", row_id, *[F.lit(0).cast("bigint").alias(m) for m in counts])
     for name, (value, length) in counts.items():
         deltas = distinct_deltas(base, keys, value, "_us", length, hot_rows, seconds)
         rows = rows.unionByName(deltas.select(*keys, "_us", F.col("_delta").alias(name)), allowMissingColumns=True)
-    sums = running_before(rows, keys, "_us", {f"_r_{m}": m for m in counts}, hot_rows, seconds)
+    sums = running_before(rows, keys, "_us", {f"_r_{m}": m for m in counts}, hot_rows=hot_rows, seconds=seconds)
     return sums.filter(F.col(row_id).isNotNull()).select(row_id, *[F.col(f"_r_{m}").alias(m) for m in counts])
 
 
@@ -179,7 +203,7 @@ def rolling_max(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, value:
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
               columns: Sequence[str], strict: bool = False, tiebreak: str | None = None,
-              hot_rows: int = HOT_ROWS, seconds: int = SLICE_SECONDS) -> DataFrame:
+              hot_rows: int | None = HOT_ROWS, seconds: int = SLICE_SECONDS) -> DataFrame:
     """``left`` with ``columns`` of the latest ``right`` row of the key at or before (``strict``: before) its time.
 
     Several right rows at one instant are ordered by ``tiebreak``.
@@ -205,7 +229,7 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
 
 
 def previous_row(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[str], prefix: str = "previous_",
-                 tiebreak: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 tiebreak: str | None = None, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add ``columns`` of the key's latest row strictly before this instant."""
     renamed = df.select(*keys, *[F.col(c).alias(prefix + c) for c in columns], F.col(ts).alias("_at"),
                         *([F.col(tiebreak).alias("_by")] if tiebreak else []))

@@ -46,7 +46,7 @@ def query(name: str, columns: str, sql: str | None = None):
     return register
 
 
-MODULES = ("analytics", "operations")
+MODULES = ("analytics", "operations", "features")
 
 
 def load_all() -> None:
