@@ -353,7 +353,7 @@ def feature_document(vector: DataFrame, score: Column, model_version: str, ttl_d
     return vector.select(
         F.concat(F.lit("feat_"), f("payment_id").cast("string")).alias("feature_id"),
         "payment_id", "merchant_id", "customer_id", f("ts").alias("computed_at"),
-        score.alias("fraud_score"), nested.alias("features"), F.lit(model_version).alias("model_version"),
+        F.round(score, 4).alias("fraud_score"), nested.alias("features"), F.lit(model_version).alias("model_version"),
         F.lit(ttl_days * DAY).alias("ttl"),
     ).withColumn("risk_level", F.when(f("fraud_score") >= 0.7, "high").when(f("fraud_score") >= 0.4, "medium").otherwise("low"))
 

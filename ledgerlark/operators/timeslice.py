@@ -14,7 +14,6 @@ do not see each other.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -253,19 +252,3 @@ def previous_within(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, se
         .filter(micros("previous_at") >= micros(ts) - seconds * 1_000_000)
         .drop("_slice", "_lag", "_last")
     )
-
-
-def near_in_time(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-                 before: int, after: int, extra: Column | None = None) -> DataFrame:
-    """Pairs with equal keys and ``right_ts`` in ``[left_ts - before, left_ts + after]`` seconds.
-
-    Both sides meet on (keys, time slice); the left row visits the two or three slices its
-    interval touches, so a busy key is spread over time and no unrelated pairs are formed.
-    Key columns must have the same names on both sides; other names must differ.
-    """
-    size = max(before + after, 1)
-    lo, hi = micros(left_ts) - before * 1_000_000, micros(left_ts) + after * 1_000_000
-    l = left.withColumn("_slice", F.explode(F.sequence(_slice(lo, size), _slice(hi, size))))
-    r = right.withColumn("_slice", _slice(micros(right_ts), size))
-    conditions = [micros(right_ts) >= lo, micros(right_ts) <= hi] + ([extra] if extra is not None else [])
-    return l.join(r, [*keys, "_slice"]).filter(reduce(lambda a, b: a & b, conditions)).drop("_slice")

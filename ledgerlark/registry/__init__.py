@@ -46,7 +46,7 @@ def query(name: str, columns: str, sql: str | None = None):
     return register
 
 
-MODULES = ("analytics", "operations", "features")
+MODULES = ("analytics", "operations", "features", "documents", "warehouse", "quality")
 
 
 def load_all() -> None:

@@ -97,13 +97,13 @@ FIXTURES = {
         l_tax >= 0.08 AS is_fraudulent,
         o_orderdate + (l_orderkey * 37 % 86400) * INTERVAL '1' SECOND AS transaction_datetime
       FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)""",
-    "x_changes": """SELECT o_orderkey AS payment_id, o_orderkey * 10 + 1 AS lsn, 2 AS op, 'PENDING' AS status,
+    "x_changes": """SELECT o_orderkey AS payment_id, 1 * 1000000000000 + o_orderkey AS lsn, 2 AS op, 'PENDING' AS status,
         CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders
-      UNION ALL SELECT o_orderkey, o_orderkey * 10 + 2, 3, 'PENDING', CAST(o_totalprice AS DECIMAL(18,2))
+      UNION ALL SELECT o_orderkey, 2 * 1000000000000 + o_orderkey, 3, 'PENDING', CAST(o_totalprice AS DECIMAL(18,2))
         FROM orders WHERE o_orderstatus = 'F'
-      UNION ALL SELECT o_orderkey, o_orderkey * 10 + 3, 4, 'SUCCEEDED', CAST(o_totalprice AS DECIMAL(18,2))
+      UNION ALL SELECT o_orderkey, 3 * 1000000000000 + o_orderkey, 4, 'SUCCEEDED', CAST(o_totalprice AS DECIMAL(18,2))
         FROM orders WHERE o_orderstatus = 'F'
-      UNION ALL SELECT o_orderkey, o_orderkey * 10 + 4, 1, 'SUCCEEDED', CAST(o_totalprice AS DECIMAL(18,2))
+      UNION ALL SELECT o_orderkey, 4 * 1000000000000 + o_orderkey, 1, 'SUCCEEDED', CAST(o_totalprice AS DECIMAL(18,2))
         FROM orders WHERE o_totalprice < 50000""",
     "x_logs": """SELECT event_id AS log_id, user_id AS merchant_id, ts, '/v1/' || event_type AS endpoint,
         CASE event_type WHEN 'error' THEN 500 WHEN 'signup' THEN 402 ELSE 200 END AS status_code,

@@ -15,6 +15,8 @@ from ledgerlark.session import configure
 
 AS_OF_ORDERS = "2001-08-02 00:00:00"
 AS_OF_EVENTS = "2024-01-31 00:00:00"
+# Inserts come first in the change log, then updates, then deletes.
+LSN_STEP = 10**12
 SUBSCRIBER_SEGMENTS = ("BUILDING", "MACHINERY", "HOUSEHOLD")
 
 
@@ -232,7 +234,7 @@ class PaymentTables:
         def part(df, step, op, status):
             return df.selectExpr(
                 "o_orderkey AS payment_id",
-                f"o_orderkey * 10 + {step} AS lsn",
+                f"{step} * {LSN_STEP} + o_orderkey AS lsn",
                 f"{op} AS op",
                 f"'{status}' AS status",
                 "CAST(o_totalprice AS DECIMAL(18,2)) AS amount",
