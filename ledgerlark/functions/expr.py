@@ -102,13 +102,7 @@ def pseudonym(c: str | Column, salt: str) -> Column:
     return F.sha2(F.concat(col(c).cast("string"), F.lit(salt)), 256)
 
 
-def uniform(seed: int, *cols: str | Column) -> Column:
-    """Deterministic number in [0, 1) from a hash of ``cols``."""
-    return F.pmod(F.xxhash64(F.lit(seed), *[col(c) for c in cols]), F.lit(1_000_000)) / 1_000_000.0
-
-
-def and_all(predicates) -> Column:
-    out = F.lit(True)
-    for p in predicates:
-        out = out & p
-    return out
+def uniform(seed: int, row_id: str | Column) -> Column:
+    """Number in [0, 1) that depends on the seed and the id only, in any engine that has MD5."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), col(row_id).cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)

@@ -46,7 +46,8 @@ def query(name: str, columns: str, sql: str | None = None):
     return register
 
 
-MODULES = ("analytics", "operations", "features", "documents", "warehouse", "quality")
+MODULES = ("analytics", "operations", "features", "documents", "warehouse", "quality", "webhooks",
+           "streams")
 
 
 def load_all() -> None:
