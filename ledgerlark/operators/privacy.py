@@ -207,9 +207,9 @@ def bulk_access(access: DataFrame, export_rows: int = 10_000, pii_rows: int = 1_
 def geo_jump(access: DataFrame, principal: str, ts: str, country: str, row_id: str, seconds: int = 3600,
              hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Accesses whose country differs from the principal's previous access at most ``seconds`` earlier."""
-    rows = access.select(row_id, principal, F.col(ts).alias("at"), F.col(country).alias("country"))
-    before = previous_row(rows, [principal], "at", ["country", "at"], tiebreak=row_id, hot_rows=hot_rows)
-    quick = F.unix_micros("at") - F.unix_micros("previous_at") <= seconds * 1_000_000
+    rows = access.select(row_id, principal, F.col(ts).alias("seen_at"), F.col(country).alias("country"))
+    before = previous_row(rows, [principal], "seen_at", ["country", "seen_at"], tiebreak=row_id, hot_rows=hot_rows)
+    quick = F.unix_micros("seen_at") - F.unix_micros("previous_seen_at") <= seconds * 1_000_000
     return before.filter((F.col("country") != F.col("previous_country")) & quick)
 
 

@@ -128,6 +128,41 @@ def revenue_by_month(fact, dim_time, year: int) -> DataFrame:
     )
 
 
+def completed_volume(fact) -> DataFrame:
+    return fact.filter(ok()).agg(F.sum("amount").alias("total_amount"), F.count("*").alias("transaction_count"))
+
+
+def country_month_fraud(fact, geography, dim_time) -> DataFrame:
+    """Revenue, average and fraud per country and month."""
+    return (
+        fact.filter(ok())
+        .join(geography, "geography_key")
+        .join(dim_time, "time_key")
+        .groupBy("country_name", "year", "month")
+        .agg(
+            F.sum("amount").alias("total_revenue"),
+            F.count("*").alias("transaction_count"),
+            F.countDistinct("customer_key").alias("unique_customers"),
+            F.count_if("is_fraudulent").alias("fraud_count"),
+        )
+        .withColumn("fraud_rate", X.pct("fraud_count", "transaction_count"))
+        .orderBy("country_name", "year", "month")
+    )
+
+
+def top_merchants(fact, merchants, year: int, n: int = 10) -> DataFrame:
+    """The largest merchants of a year straight from the fact."""
+    return (
+        fact.filter(F.col("time_key").between(year * 10000 + 101, year * 10000 + 1231))
+        .groupBy("merchant_key")
+        .agg(F.sum("amount").alias("total_revenue"), F.count("*").alias("transaction_count"))
+        .orderBy(F.desc("total_revenue"), "merchant_key")
+        .limit(n)
+        .join(merchants, "merchant_key")
+        .select("merchant_key", "business_name", "total_revenue", "transaction_count")
+    )
+
+
 def product_performance(fact, products) -> DataFrame:
     return (
         fact.groupBy("product_key")

@@ -47,7 +47,7 @@ def query(name: str, columns: str, sql: str | None = None):
 
 
 MODULES = ("analytics", "operations", "features", "documents", "warehouse", "quality", "webhooks",
-           "streams")
+           "streams", "privacy", "models", "primitives")
 
 
 def load_all() -> None:

@@ -347,3 +347,27 @@ def product_performance(t):
             CAST(count(*) FILTER (is_successful) AS DOUBLE) / count(*) * 100 AS conversion_rate FROM x_fact GROUP BY 1""")
 def conversion_rate(t):
     return A.conversion_rate(t.fact())
+
+
+@query("olap_filtered_sum", "total_amount:d transaction_count:i",
+       "SELECT sum(amount) AS total_amount, count(*) AS transaction_count FROM x_fact WHERE is_successful")
+def filtered_sum(t):
+    return A.completed_volume(t.fact())
+
+
+@query("olap_country_month_fraud",
+       "country_name:s year:i month:i total_revenue:d transaction_count:i unique_customers:i fraud_count:i fraud_rate:r",
+       """SELECT country_name, year, month, sum(amount) AS total_revenue, count(*) AS transaction_count,
+            count(DISTINCT customer_key) AS unique_customers, count(*) FILTER (is_fraudulent) AS fraud_count,
+            CAST(count(*) FILTER (is_fraudulent) AS DOUBLE) / count(*) * 100 AS fraud_rate
+          FROM x_fact JOIN x_geography USING (geography_key) WHERE is_successful GROUP BY 1, 2, 3""")
+def country_month_fraud(t):
+    return A.country_month_fraud(t.fact(), t.geography(), calendar(t))
+
+
+@query("olap_top_merchants_from_fact", "merchant_key:i business_name:s total_revenue:d transaction_count:i",
+       """SELECT merchant_key, business_name, sum(amount) AS total_revenue, count(*) AS transaction_count
+          FROM x_fact JOIN x_merchants USING (merchant_key) WHERE year = 2000 GROUP BY 1, 2
+          ORDER BY total_revenue DESC, merchant_key LIMIT 10""")
+def top_merchants_from_fact(t):
+    return A.top_merchants(t.fact(), t.merchants(), 2000)

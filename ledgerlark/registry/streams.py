@@ -174,8 +174,10 @@ def stream_join_payment_logs(t):
 def stream_throughput(t):
     path = scratch(t.spark, "throughput")
 
-    def count(batch, _):
-        batch.groupBy("malformed").agg(F.count("*").alias("n")).write.mode("append").parquet(f"{path}/counts")
+    def count(batch, batch_id):
+        # A repeated batch replaces its own counts.
+        batch.groupBy("malformed").agg(F.count("*").alias("n")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").parquet(f"{path}/counts/batch={batch_id}")
 
     run = J.run_each_batch(J.conversion(events(t), "props", "k BIGINT"), "throughput", count, path)
     totals = t.spark.read.parquet(f"{path}/counts").agg(
