@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import expr as X
 from ledgerlark.operators.timeslice import (
-    HOT_ROWS, distinct_deltas, micros, no_busy_keys, rolling_max, running_before, with_expiries,
+    HOT_ROWS, distinct_deltas, look_back, micros, no_busy_keys, rolling_max, running_before, with_expiries,
 )
 
 HOUR, DAY = 3600, 86400
@@ -77,63 +77,63 @@ def _daypart() -> Column:
     return F.floor(F.hour("ts") / DAYPART_HOURS).cast("int")
 
 
-def _dispute_steps(payments: DataFrame, disputes: DataFrame, key: str, total: str, recent: str) -> DataFrame:
+def _dispute_steps(payments: DataFrame, disputes: DataFrame, key: str) -> DataFrame:
     """Changes in the number of disputed payments of ``key``: all known so far, and of the last 30 days."""
     d = disputes.select("payment_id", micros("opened_at").alias("_open")).join(
         payments.select("payment_id", key, micros("ts").alias("_paid")), "payment_id")
-    ends = F.col("_paid") + F.lit(MONTH * 1_000_000)
-    none = F.lit(None).cast("bigint")
+    ends = f"_paid + {MONTH * 1_000_000}"
+    return d.selectExpr(key, f"""inline(filter(array(
+        named_struct('_us', _open, '_what', 'disputes_all', '_delta', 1L),
+        CASE WHEN _open < {ends} THEN named_struct('_us', _open, '_what', 'disputes_30d', '_delta', 1L) END,
+        CASE WHEN _open < {ends} THEN named_struct('_us', {ends}, '_what', 'disputes_30d', '_delta', -1L) END),
+        step -> step IS NOT NULL))""")
 
-    def step(at, all_, last):
-        return F.struct(at.alias("at"), all_.cast("bigint").alias("t"), last.cast("bigint").alias("r"))
 
-    in_time = F.col("_open") < ends
-    steps = F.array_compact(F.array(
-        step(F.col("_open"), F.lit(1), F.when(in_time, F.lit(1))),
-        F.when(in_time, step(ends, none, F.lit(-1))),
-    ))
-    return d.select(key, F.explode(steps).alias("_e")).select(
-        key, F.col("_e.at").alias("_us"), F.col("_e.t").alias(total), F.col("_e.r").alias(recent))
+def customer_state(payments: DataFrame, disputes: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Payments with the customer's raw counters just before them, in columns ``s_*``.
 
-
-def customer_state(payments: DataFrame, disputes: DataFrame, carry: Sequence[str] = (),
-                   hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Per payment the customer's raw counters just before it, in columns ``s_*``."""
+    The pass moves ids and numbers only; the rest of the payment is joined back on its id.
+    """
     # A payment adds up to five rows (itself and four expiries).
     if hot_rows and no_busy_keys(payments, ["customer_id"], hot_rows // 5):
         hot_rows = None
     p = payments.withColumns({
-        "_t": micros("ts"), "_amount": F.col("amount_minor").cast("decimal(38,0)"),
-        "_band": _band(F.col("amount_minor")), "_part": _daypart(),
+        "_t": micros("ts"), "_good": F.col("status") == "SUCCEEDED", "_band": _band(F.col("amount_minor")), "_part": _daypart(),
+        "_seen": F.struct(micros("ts").alias("us"), "payment_id", F.col("ip_country").alias("country")),
     })
-    good = F.col("status") == "SUCCEEDED"
-    one = F.lit(1).cast("bigint")
-    windows = {
-        "n_1h": (one, HOUR), "n_24h": (one, DAY), "n_7d": (one, WEEK), "n_30d": (one, MONTH),
-        "ok_7d": (F.when(good, one), WEEK),
-        "sum_7d": (F.when(good, F.col("_amount")), WEEK),
-        "squares_7d": (F.when(good, (F.col("_amount") * F.col("_amount")).cast("decimal(38,0)")), WEEK),
-        "ok_30d": (F.when(good, one), MONTH),
-        "sum_30d": (F.when(good, F.col("_amount")), MONTH),
-        "squares_30d": (F.when(good, (F.col("_amount") * F.col("_amount")).cast("decimal(38,0)")), MONTH),
-        "n_all": (one, None), "ok_all": (F.when(good, one), None), "sum_all": (F.col("_amount"), None),
-        **{f"band_{k}": (F.when(F.col("_band") <= k, one), MONTH) for k in range(len(BANDS))},
-        **{f"part_{k}": (F.when(F.col("_part") == k, one), None) for k in range(24 // DAYPART_HOURS)},
-    }
-    p = p.withColumn("_seen", F.struct(F.col("_t").alias("us"), "payment_id", F.col("ip_country").alias("country")))
-    stream = with_expiries(p, "_t", windows, ["customer_id"], ["payment_id", "_seen", *carry])
+    stream = with_expiries(p, "_t", [HOUR, DAY, WEEK, MONTH], ["customer_id", "amount_minor", "_good", "_band"],
+                           ["payment_id", "_part", "_seen"])
     counts = {"cards_30d": ("payment_method", MONTH), "merchants_30d": ("merchant_id", MONTH),
               "countries_24h": ("ip_country", DAY)}
     for name, (value, length) in counts.items():
-        deltas = distinct_deltas(p, ["customer_id"], value, "_t", length, hot_rows).withColumnRenamed("_delta", name)
-        stream = stream.unionByName(deltas, allowMissingColumns=True)
-    stream = stream.unionByName(_dispute_steps(payments, disputes, "customer_id", "disputes_all", "disputes_30d"),
-                                allowMissingColumns=True)
-    measures = [*windows, *counts, "disputes_all", "disputes_30d"]
-    state = running_before(stream, ["customer_id"], "_us", {f"s_{m}": m for m in measures}, {"s_last": "_seen"},
-                           hot_rows=hot_rows)
-    return state.filter("_own").select("payment_id", "customer_id", *carry, "_us",
-                                       *[f"s_{m}" for m in measures], "s_last")
+        deltas = distinct_deltas(p, ["customer_id"], value, "_t", length, hot_rows)
+        stream = stream.unionByName(deltas.withColumn("_what", F.lit(name)), allowMissingColumns=True)
+    stream = stream.unionByName(_dispute_steps(payments, disputes, "customer_id"), allowMissingColumns=True)
+    found = running_before(stream, ["customer_id"], "_us", {f"s_{m}": e for m, e in customer_measures().items()},
+                           {"s_last": "_seen"}, hot_rows=hot_rows)
+    state = found.filter("_after = 0").select("payment_id", "_us", *[c for c in found.columns if c.startswith("s_")])
+    return payments.join(state, "payment_id")
+
+
+def customer_measures() -> dict[str, str]:
+    """Running sums that make up the customer's state."""
+    good, square = "CASE WHEN _good THEN 1L END", "CASE WHEN _good THEN CAST(CAST(amount_minor AS DECIMAL(19,0)) * amount_minor AS DECIMAL(38,0)) END"
+    paid = "CASE WHEN _good THEN amount_minor END"
+    measures = {
+        "n_1h": look_back("1L", HOUR), "n_24h": look_back("1L", DAY), "n_7d": look_back("1L", WEEK),
+        "n_30d": look_back("1L", MONTH), "n_all": look_back("1L", None), "ok_all": look_back(good, None),
+        "sum_all": look_back("amount_minor", None),
+    }
+    for span, length in (("7d", WEEK), ("30d", MONTH)):
+        measures |= {f"ok_{span}": look_back(good, length), f"sum_{span}": look_back(paid, length),
+                     f"squares_{span}": look_back(square, length)}
+    for k in range(len(BANDS)):
+        measures[f"band_{k}"] = look_back(f"CASE WHEN _band <= {k} THEN 1L END", MONTH)
+    for k in range(24 // DAYPART_HOURS):
+        measures[f"part_{k}"] = look_back(f"CASE WHEN _part = {k} THEN 1L END", None)
+    for name in ("cards_30d", "merchants_30d", "countries_24h", "disputes_all", "disputes_30d"):
+        measures[name] = f"CASE WHEN _what = '{name}' THEN _delta END"
+    return measures
 
 
 def velocity(s: dict[str, Column]) -> dict[str, Column]:
@@ -148,7 +148,8 @@ def _mean_and_spread(s: dict[str, Column], span: str) -> tuple[Column, Column]:
     """Mean and sample standard deviation of succeeded amounts from exact sums; the amount itself and 0 by default."""
     n, total, squares = s[f"ok_{span}"], s[f"sum_{span}"], s[f"squares_{span}"]
     avg = F.coalesce(X.ratio(total, n), F.col("amount_minor").cast("double"))
-    spread = F.greatest((n * squares - total * total).cast("double"), F.lit(0.0))
+    exact = total.cast("decimal(38,0)")
+    spread = F.greatest((n * squares - exact * exact).cast("double"), F.lit(0.0))
     pairs = n.cast("double") * F.greatest(n.cast("double") - 1, F.lit(1.0))
     return avg, F.when(n > 1, F.sqrt(spread / pairs)).otherwise(F.lit(0.0))
 
@@ -242,15 +243,15 @@ def context(rules: Rules) -> dict[str, Column]:
 def merchant_features(payments: DataFrame, disputes: DataFrame, merchants: DataFrame,
                       hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """``payment_id`` with the five merchant features."""
-    one = F.lit(1).cast("bigint")
     if hot_rows and no_busy_keys(payments, ["merchant_id"], hot_rows // 5):
         hot_rows = None
-    p = payments.withColumn("_t", micros("ts"))
-    windows = {"n_30d": (one, MONTH), "sum_30d": (F.col("amount_minor").cast("decimal(38,0)"), MONTH), "n_all": (one, None)}
-    stream = with_expiries(p, "_t", windows, ["merchant_id"], ["payment_id"]).unionByName(
-        _dispute_steps(payments, disputes, "merchant_id", "disputes_all", "disputes_30d"), allowMissingColumns=True)
-    names = [*windows, "disputes_all", "disputes_30d"]
-    s = running_before(stream, ["merchant_id"], "_us", {f"m_{m}": m for m in names}, hot_rows=hot_rows).filter("_own")
+    stream = with_expiries(payments.withColumn("_t", micros("ts")), "_t", [MONTH], ["merchant_id", "amount_minor"],
+                           ["payment_id"]).unionByName(
+        _dispute_steps(payments, disputes, "merchant_id"), allowMissingColumns=True)
+    s = running_before(stream, ["merchant_id"], "_us", {
+        "m_n_30d": look_back("1L", MONTH), "m_sum_30d": look_back("amount_minor", MONTH), "m_n_all": look_back("1L", None),
+        **{f"m_{w}": f"CASE WHEN _what = '{w}' THEN _delta END" for w in ("disputes_all", "disputes_30d")},
+    }, hot_rows=hot_rows).filter("_after = 0")
     industry = F.lower("industry")
     risk = F.when(industry.isin(*HIGH_RISK_INDUSTRIES), 2).when(industry.isin(*MEDIUM_RISK_INDUSTRIES), 1).otherwise(0)
     return s.join(merchants.select("merchant_id", F.col("created_at").alias("_since"), "industry"), "merchant_id",
@@ -277,21 +278,14 @@ def _state_columns(df: DataFrame) -> dict[str, Column]:
     return {c[2:]: F.col(c) for c in df.columns if c.startswith("s_")}
 
 
-PAYLOAD = ("merchant_id", "amount_minor", "status", "ts", "ip_country", "card_country", "billing_country", "email",
-           "user_agent", "device_fingerprint", "shipping_address", "billing_address")
-
-
 def feature_vector(payments, disputes, customers, merchants, rules: Rules = Rules(), hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """All features in model order, one row per payment; missing values are zero.
-
-    The payment's own columns travel with the customer pass, so that pass needs no join back.
-    """
-    base = customer_state(payments, disputes, PAYLOAD, hot_rows)
+    """All features in model order, one row per payment; missing values are zero."""
+    base = customer_state(payments, disputes, hot_rows)
     wide = (
-        base.join(customers.select("customer_id", F.col("created_at").alias("customer_since")), "customer_id", "left")
-        .join(first_device_use(payments), ["customer_id", "device_fingerprint"], "left")
-        .join(highest_amount(payments), "payment_id", "left")
+        base.join(highest_amount(payments), "payment_id", "left")
         .join(merchant_features(payments, disputes, merchants, hot_rows), "payment_id", "left")
+        .join(customers.select("customer_id", F.col("created_at").alias("customer_since")), "customer_id", "left")
+        .join(first_device_use(payments), ["customer_id", "device_fingerprint"], "left")
     )
     s = _state_columns(base)
     found = {**velocity(s), **amounts(s, rules), **geography(s, rules), **device_and_email(rules), **customer_history(s),
@@ -314,7 +308,7 @@ def group(name: str, payments, disputes, customers, merchants, rules: Rules = Ru
     if name == "device_email":
         joined = payments.join(first_device_use(payments), ["customer_id", "device_fingerprint"], "left")
         return joined.select("payment_id", *[c.alias(f) for f, c in device_and_email(rules).items()])
-    base = customer_state(payments, disputes, PAYLOAD, hot_rows)
+    base = customer_state(payments, disputes, hot_rows)
     s = _state_columns(base)
     if name == "velocity":
         found = velocity(s)

@@ -61,61 +61,56 @@ def running_before(df: DataFrame, keys: Sequence[str], us: str, sums: Mapping[st
                    hot_rows: int | None = HOT_ROWS, seconds: int = SLICE_SECONDS) -> DataFrame:
     """Add values over the rows of the key strictly before this instant.
 
-    ``sums`` maps a new column to the column to add up; ``latest`` maps a new column to a struct
-    column that starts with the time, of which the largest (= latest) one is taken.
+    ``sums`` maps a new column to the SQL expression to add up; ``latest`` maps a new column to a
+    struct that starts with the time, of which the largest (= latest) one is taken. The rows are
+    shuffled as they come; the expressions are evaluated behind the shuffle.
     """
     df, cut = with_slices(df, keys, us, hot_rows, seconds)
-    zero = F.lit(0)
-    inside = Window.partitionBy(*keys, "_slice").orderBy(us).rangeBetween(Window.unboundedPreceding, -1)
-    out = df.select(
+    by = ", ".join(keys)
+    df = df.repartition(*keys, "_slice") if cut else df.repartition(*keys)
+    inside = f"PARTITION BY {by}, _slice ORDER BY {us} RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    out = df.selectExpr(
         "*",
-        *[F.coalesce(F.sum(c).over(inside), zero).alias(o) for o, c in sums.items()],
-        *[F.max(c).over(inside).alias(o) for o, c in latest.items()],
+        *[f"coalesce(sum({c}) OVER ({inside}), 0) AS {o}" for o, c in sums.items()],
+        *[f"max({c}) OVER ({inside}) AS {o}" for o, c in latest.items()],
     )
     if cut:
-        earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-        totals = df.groupBy(*keys, "_slice").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in sums.items()],
-                                                 *[F.max(c).alias(f"_t_{o}") for o, c in latest.items()])
-        carried = totals.select(
-            *keys, "_slice", *[F.coalesce(F.sum(f"_t_{o}").over(earlier), zero).alias(f"_c_{o}") for o in sums],
-            *[F.max(f"_t_{o}").over(earlier).alias(f"_c_{o}") for o in latest])
-        out = out.join(carried, [*keys, "_slice"])
-        out = out.withColumns({**{o: F.col(o) + F.col(f"_c_{o}") for o in sums},
-                               **{o: F.coalesce(o, f"_c_{o}") for o in latest}})
-        out = out.drop(*[f"_c_{o}" for o in [*sums, *latest]])
+        earlier = f"PARTITION BY {by} ORDER BY _slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+        totals = df.groupBy(*keys, "_slice").agg(
+            *[F.expr(f"sum({c}) AS _t_{o}") for o, c in sums.items()],
+            *[F.expr(f"max({c}) AS _t_{o}") for o, c in latest.items()])
+        carried = totals.selectExpr(
+            *keys, "_slice", *[f"coalesce(sum(_t_{o}) OVER ({earlier}), 0) AS _c_{o}" for o in sums],
+            *[f"max(_t_{o}) OVER ({earlier}) AS _c_{o}" for o in latest])
+        out = out.join(carried, [*keys, "_slice"]).selectExpr(
+            *df.columns, *[f"{o} + _c_{o} AS {o}" for o in sums], *[f"coalesce({o}, _c_{o}) AS {o}" for o in latest])
     return out.drop("_slice")
 
 
-def with_expiries(df: DataFrame, us: str, windows: Mapping[str, tuple[Column, int | None]],
-                  keys: Sequence[str], carry: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` (``_own`` true) followed by one expiry row per distinct window length.
+def with_expiries(df: DataFrame, us: str, lengths: Sequence[int], keep: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """Every row at its own time (``_after`` 0) and once more ``_after`` seconds later per window length.
 
-    ``windows`` maps a measure name to (value, seconds); without seconds it never expires. On an
-    own row a measure column holds the value, on its expiry row the negated value. The ``carry``
-    columns are null on expiry rows.
+    ``keep`` are the columns the expiries need; the ``carry`` columns are null on expiries.
     """
-    lengths = sorted({s for _, s in windows.values() if s})
-    stretched = df.withColumns({m: v for m, (v, _) in windows.items()}).withColumn(
-        "_after", F.explode(F.array(*[F.lit(s).cast("bigint") for s in [0, *lengths]])))
-    own = F.col("_after") == 0
-    signed = {
-        m: F.when(own, F.col(m)).when(F.col("_after") == s, -F.col(m)) if s else F.when(own, F.col(m))
-        for m, (_, s) in windows.items()
-    }
-    return stretched.select(
-        *keys, (F.col(us) + F.col("_after") * 1_000_000).alias("_us"), own.alias("_own"),
-        *[F.when(own, F.col(c)).alias(c) for c in carry], *[v.alias(m) for m, v in signed.items()],
-    )
+    after = ", ".join(f"{s}L" for s in [0, *sorted(set(lengths))])
+    return df.select("*", F.expr(f"explode(array({after})) AS _after")).selectExpr(
+        *keep, "_after", f"{us} + _after * 1000000 AS _us", *[f"CASE WHEN _after = 0 THEN {c} END AS {c}" for c in carry])
+
+
+def look_back(value: str, seconds: int | None) -> str:
+    """What a row of ``with_expiries`` adds to the sum of ``value`` over the last ``seconds`` (None: ever)."""
+    expiry = f" WHEN _after = {seconds} THEN -({value})" if seconds else ""
+    return f"CASE WHEN _after = 0 THEN {value}{expiry} END"
 
 
-def rolling_sums(df: DataFrame, keys: Sequence[str], ts: str, row_id: str,
-                 windows: Mapping[str, tuple[Column, int]], hot_rows: int | None = HOT_ROWS,
-                 seconds: int = SLICE_SECONDS) -> DataFrame:
-    """``row_id`` with one look-back sum per entry of ``windows`` (name: (value, seconds))."""
-    base = df.withColumn("_t", micros(ts))
-    stream = with_expiries(base, "_t", windows, keys, [row_id])
-    sums = running_before(stream, keys, "_us", {f"_r_{m}": m for m in windows}, hot_rows=hot_rows, seconds=seconds)
-    return sums.filter("_own").select(row_id, *[F.col(f"_r_{m}").alias(m) for m in windows])
+def rolling_sums(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, windows: Mapping[str, tuple[str, int]],
+                 hot_rows: int | None = HOT_ROWS, seconds: int = SLICE_SECONDS) -> DataFrame:
+    """``row_id`` with one look-back sum per entry of ``windows`` (name: (column, seconds)); column ``1`` counts."""
+    values = sorted({c for c, _ in windows.values() if c != "1"} - set(keys))
+    stream = with_expiries(df.withColumn("_t", micros(ts)), "_t", [s for _, s in windows.values()], [*keys, *values], [row_id])
+    sums = {f"_r_{m}": look_back("1L" if c == "1" else c, s) for m, (c, s) in windows.items()}
+    found = running_before(stream, keys, "_us", sums, hot_rows=hot_rows, seconds=seconds)
+    return found.filter("_after = 0").select(row_id, *[F.col(f"_r_{m}").alias(m) for m in windows])
 
 
 def neighbours(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int | None = HOT_ROWS,

@@ -80,11 +80,9 @@ BACK = "(PARTITION BY customer_id ORDER BY ts RANGE BETWEEN INTERVAL {} PRECEDIN
           FROM x_payments WINDOW h1 AS {BACK.format('1 HOUR')}, h24 AS {BACK.format('24 HOUR')}, d7 AS {BACK.format('7 DAY')}""")
 def rolling_range_count(t):
     """Sums by expiry and maxima by slices, with every customer sliced."""
-    one = F.lit(1).cast("bigint")
     p = t.payments()
     sums = S.rolling_sums(p, ["customer_id"], "ts", "payment_id", {
-        "n_1h": (one, 3600), "n_24h": (one, 86400), "n_7d": (one, 7 * 86400),
-        "amount_24h": (F.col("amount_minor"), 86400)}, hot_rows=0)
+        "n_1h": ("1", 3600), "n_24h": ("1", 86400), "n_7d": ("1", 7 * 86400), "amount_24h": ("amount_minor", 86400)}, hot_rows=0)
     return sums.join(S.rolling_max(p, ["customer_id"], "ts", "payment_id", F.col("amount_minor"), 86400, "max_24h"), "payment_id")
 
 
