@@ -30,7 +30,7 @@ def calendar(t):
               count(DISTINCT customer_key) AS unique_customers
             FROM x_fact WHERE is_successful AND year >= 1995 GROUP BY ALL))""")
 def monthly_revenue_yoy(t):
-    return A.monthly_revenue_yoy(t.fact(), calendar(t), 1995)
+    return A.monthly_revenue_yoy(t.sales(), calendar(t), 1995)
 
 
 @query("olap_revenue_by_geography",
@@ -58,7 +58,7 @@ def revenue_by_geography(t):
           FROM x_fact f JOIN x_merchants m ON f.merchant_key = m.merchant_key
           WHERE is_successful AND time_key >= 20000101 GROUP BY ALL)""")
 def revenue_by_tier_industry(t):
-    return A.revenue_by_tier_industry(t.fact(), t.merchants(), 20000101)
+    return A.revenue_by_tier_industry(t.sales(), t.merchants(), 20000101)
 
 
 @query("olap_customer_segmentation",
@@ -75,7 +75,7 @@ def revenue_by_tier_industry(t):
             FROM x_fact WHERE is_successful GROUP BY customer_key)
           JOIN x_customers USING (customer_key) GROUP BY customer_segment""")
 def customer_segmentation(t):
-    return A.customer_segmentation(t.fact(), t.customers(), calendar(t), AS_OF_ORDERS)
+    return A.customer_segmentation(t.sales(), t.customers(), calendar(t), AS_OF_ORDERS)
 
 
 @query("olap_cohort_retention", "cohort_month:i months_since_cohort:i active_customers:i retention_rate:r",
@@ -89,7 +89,7 @@ def customer_segmentation(t):
             WHERE is_successful GROUP BY 1, 2)
           WHERE gap <= 12""")
 def cohort_retention(t):
-    return A.cohort_retention(t.fact())
+    return A.cohort_retention(t.sales())
 
 
 @query("olap_churn_indicators",
@@ -111,7 +111,7 @@ def cohort_retention(t):
             GROUP BY customer_key) a JOIN x_customers c USING (customer_key)
           WHERE days_inactive > 60""")
 def churn_indicators(t):
-    return A.churn_indicators(t.fact(), t.customers(), calendar(t), AS_OF_ORDERS, 2001)
+    return A.churn_indicators(t.sales(), t.customers(), calendar(t), AS_OF_ORDERS, 2001)
 
 
 @query("olap_payment_method_by_geo",
@@ -136,7 +136,7 @@ def payment_method_by_geo(t):
               CAST(count(*) FILTER (is_digital_wallet) AS DOUBLE) / count(*) * 100 AS digital_wallet_adoption_rate
             FROM x_fact JOIN x_methods USING (payment_method_key) WHERE is_successful GROUP BY ALL)""")
 def wallet_adoption(t):
-    return A.wallet_adoption(t.fact(), t.payment_methods(), calendar(t))
+    return A.wallet_adoption(t.sales(), t.payment_methods(), calendar(t))
 
 
 @query("olap_fraud_by_geo_method",
@@ -161,7 +161,7 @@ def fraud_by_geo_method(t):
             CAST(sum(amount) AS DOUBLE) / count(*) AS avg_transaction_amount
           FROM x_fact WHERE time_key >= 19980901 GROUP BY ALL""")
 def fraud_by_time(t):
-    return A.fraud_by_time(t.fact(), 19980901)
+    return A.fraud_by_time(t.sales(), 19980901)
 
 
 @query("olap_exec_kpis",
@@ -177,7 +177,7 @@ def fraud_by_time(t):
               count(DISTINCT customer_key) AS unique_customers, count(DISTINCT merchant_key) AS active_merchants, {RATES}
             FROM x_fact WHERE year >= 1996 GROUP BY ALL)""")
 def exec_kpis(t):
-    return A.exec_kpis(t.fact(), calendar(t), 1996)
+    return A.exec_kpis(t.sales(), calendar(t), 1996)
 
 
 @query("olap_merchant_leaderboard",
@@ -192,7 +192,7 @@ def exec_kpis(t):
               FROM x_fact WHERE time_key >= 20000101 GROUP BY 1 HAVING count(*) > 10)
             JOIN x_merchants USING (merchant_key))""")
 def merchant_leaderboard(t):
-    return A.merchant_leaderboard(t.fact(), t.merchants(), 20000101)
+    return A.merchant_leaderboard(t.sales(), t.merchants(), 20000101)
 
 
 @query("olap_daily_moving_avg",
@@ -207,7 +207,7 @@ def merchant_leaderboard(t):
           WINDOW d AS (ORDER BY full_date), w7 AS (ORDER BY full_date ROWS 6 PRECEDING),
             w30 AS (ORDER BY full_date ROWS 29 PRECEDING)""")
 def daily_moving_avg(t):
-    return A.daily_moving_avg(t.fact(), calendar(t), AS_OF_ORDERS)
+    return A.daily_moving_avg(t.sales(), calendar(t), AS_OF_ORDERS)
 
 
 WEEK = "CAST(floor((dayofyear(full_date) - 1 + dayofweek(date_trunc('year', full_date))) / 7) + 1 AS BIGINT)"
@@ -224,7 +224,7 @@ WEEK = "CAST(floor((dayofyear(full_date) - 1 + dayofweek(date_trunc('year', full
             FROM x_fact WHERE is_successful AND year >= 1996 GROUP BY ALL)
           GROUP BY ALL""")
 def seasonality(t):
-    return A.seasonality(t.fact(), calendar(t), 1996)
+    return A.seasonality(t.sales(), calendar(t), 1996)
 
 
 part("x_daily_summary", """SELECT merchant_key, time_key, full_date, count(*) AS transaction_count,
@@ -238,7 +238,7 @@ part("x_daily_summary", """SELECT merchant_key, time_key, full_date, count(*) AS
        """SELECT business_name, d.* FROM x_daily_summary d JOIN x_merchants USING (merchant_key)
           WHERE full_date >= DATE '2001-08-02' - INTERVAL 7 DAY""")
 def daily_merchant_summary(t):
-    return A.daily_merchant_report(G.daily_merchant_summary(t.fact()), t.merchants(), calendar(t), AS_OF_ORDERS)
+    return A.daily_merchant_report(G.daily_merchant_summary(t.sales()), t.merchants(), calendar(t), AS_OF_ORDERS)
 
 
 part("x_monthly", """SELECT f.year * 100 + f.month AS year_month, merchant_key, sum(amount) AS gross_revenue,
@@ -260,14 +260,14 @@ part("x_monthly", """SELECT f.year * 100 + f.month AS year_month, merchant_key,
        "fraud_rate:r",
        "SELECT m.*, business_name, industry FROM x_monthly m JOIN x_merchants USING (merchant_key) WHERE year_month >= 200001")
 def monthly_kpis_from_agg(t):
-    return A.monthly_kpis(G.monthly_metrics(t.fact()), t.merchants(), 200001)
+    return A.monthly_kpis(G.monthly_metrics(t.sales()), t.merchants(), 200001)
 
 
 @query("olap_revenue_by_month", "year:i month:i revenue:d transaction_count:i",
        """SELECT year, month, sum(amount) AS revenue, count(*) AS transaction_count FROM x_fact
           WHERE is_successful AND year = 2000 GROUP BY 1, 2""")
 def revenue_by_month(t):
-    return A.revenue_by_month(t.fact(), calendar(t), 2000)
+    return A.revenue_by_month(t.sales(), calendar(t), 2000)
 
 
 @query("olap_top_merchants_from_agg", "merchant_key:i business_name:s total_revenue:d transaction_count:i",
@@ -307,7 +307,7 @@ def vw_transaction_details(t):
             count(DISTINCT customer_key) AS unique_customers, {RATES}
           FROM x_fact JOIN x_merchants USING (merchant_key) GROUP BY 1, 2, 3, 4""")
 def vw_merchant_performance(t):
-    return A.merchant_performance(t.fact(), t.merchants())
+    return A.merchant_performance(t.sales(), t.merchants())
 
 
 @query("olap_vw_geographic_revenue",
@@ -339,20 +339,20 @@ def geo_rollup(t):
             CAST(count(*) FILTER (is_successful) AS DOUBLE) / count(*) * 100 AS success_rate
           FROM x_fact JOIN x_products USING (product_key) GROUP BY 1, 2, 3""")
 def product_performance(t):
-    return A.product_performance(t.fact(), t.products())
+    return A.product_performance(t.sales(), t.products())
 
 
 @query("olap_conversion_rate", "year_month:i attempted:i succeeded:i conversion_rate:r",
        """SELECT time_key // 100 AS year_month, count(*) AS attempted, count(*) FILTER (is_successful) AS succeeded,
             CAST(count(*) FILTER (is_successful) AS DOUBLE) / count(*) * 100 AS conversion_rate FROM x_fact GROUP BY 1""")
 def conversion_rate(t):
-    return A.conversion_rate(t.fact())
+    return A.conversion_rate(t.sales())
 
 
 @query("olap_filtered_sum", "total_amount:d transaction_count:i",
        "SELECT sum(amount) AS total_amount, count(*) AS transaction_count FROM x_fact WHERE is_successful")
 def filtered_sum(t):
-    return A.completed_volume(t.fact())
+    return A.completed_volume(t.sales())
 
 
 @query("olap_country_month_fraud",
@@ -370,4 +370,4 @@ def country_month_fraud(t):
           FROM x_fact JOIN x_merchants USING (merchant_key) WHERE year = 2000 GROUP BY 1, 2
           ORDER BY total_revenue DESC, merchant_key LIMIT 10""")
 def top_merchants_from_fact(t):
-    return A.top_merchants(t.fact(), t.merchants(), 2000)
+    return A.top_merchants(t.sales(), t.merchants(), 2000)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlark import schemas
 from ledgerlark.functions import expr as X
 from ledgerlark.operators import ranking as R
 from ledgerlark.operators import timeslice as S
 from ledgerlark.operators.scoring import latency_percentiles
 from ledgerlark.registry import query
+from ledgerlark.session import scratch
 from ledgerlark.sources import tables as T
 from ledgerlark.sources.driver_tables import AS_OF_ORDERS
 
@@ -32,7 +34,7 @@ def column_projection_by_role(t):
 def row_filter_by_tenant(t):
     """The newest merchant sees its own rows."""
     newest = t.raw("supplier").agg(F.max("s_suppkey").alias("k")).scalar()
-    return T.rows_of_tenant(t.fact(), "merchant_key", newest)
+    return T.rows_of_tenant(t.sales(), "merchant_key", newest)
 
 
 @query("pit_feature_asof", "payment_id:i customer_id:i ts:t computed_at:t profile_score:i",
@@ -136,3 +138,30 @@ def hours_and_weeks(t):
     at = F.to_date("created_at")
     return t.transactions().select("transaction_id", X.hour_boundaries("created_at", X.ts(AS_OF_ORDERS)).alias("hours"),
                                    X.week_from_jan1(at).alias("week"), F.dayofweek(at).alias("weekday"))
+
+
+@query("scan_json_docs", "log_id:s merchant_id:s timestamp:t endpoint:s status_code:i latency_ms:i payment:s k:i",
+       """SELECT log_id, merchant_id, ts AS timestamp, endpoint, status_code, latency_ms,
+            request_body ->> '$.payment' AS payment, request_body ->> '$.props.k' AS k FROM x_logs""")
+def scan_json_docs(t):
+    """The logs written as JSON documents and read with the declared schema; the body is free-form."""
+    path = scratch(t.spark, "documents")
+    docs = t.api_logs().withColumnRenamed("ts", "timestamp").withColumn("request_body", F.parse_json("request_body"))
+    docs.write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").json(path)
+    read = T.scan_documents(t.spark, path, schemas.DOCUMENTS["api_logs"], multiline=False)
+    return read.withColumns({"payment": F.variant_get("request_body", "$.payment", "string"),
+                             "k": F.variant_get("request_body", "$.props.k", "bigint")})
+
+
+@query("staging_folders", "run_date:s transaction_id:i amount:d",
+       """SELECT CAST(CAST(date_trunc('month', created_at) AS DATE) AS VARCHAR) AS run_date, transaction_id, amount
+          FROM x_transactions""")
+def staging_folders(t):
+    """Everything landed under its month, the newest month once more, and read back as one folder."""
+    path = scratch(t.spark, "staging")
+    rows = t.transactions().select(F.trunc("created_at", "MONTH").alias("run_date"), "transaction_id", "amount")
+    T.write_partitions(rows, path, ["run_date"])
+    newest = rows.agg(F.max("run_date").alias("d")).first()["d"]
+    T.append_staging(rows.filter(F.col("run_date") == newest).drop("run_date"), path, newest.isoformat())
+    files = T.read_folder(t.spark, path, "transaction_id BIGINT, amount DECIMAL(18,2)")
+    return files.withColumn("run_date", F.regexp_extract(F.input_file_name(), r"run_date=([0-9-]+)", 1))

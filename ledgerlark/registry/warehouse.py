@@ -190,14 +190,14 @@ def overwrite_partition(t):
        "returning_customers:i avg_order_value:r customer_lifetime_value:r churn_rate:d refund_rate:r chargeback_rate:r "
        "fraud_rate:r", "SELECT * FROM x_monthly")
 def calculate_monthly_metrics(t):
-    return G.monthly_metrics(t.fact())
+    return G.monthly_metrics(t.sales())
 
 
 @query("daily_merchant_summary",
        "merchant_key:i time_key:i transaction_count:i successful_count:i total_revenue:d net_revenue:d "
        "avg_transaction_amount:r unique_customers:i", "SELECT * FROM x_daily_summary")
 def daily_merchant_summary(t):
-    return G.daily_merchant_summary(t.fact())
+    return G.daily_merchant_summary(t.sales())
 
 
 @query("daily_revenue_fraud",
@@ -206,7 +206,7 @@ def daily_merchant_summary(t):
             sum(processing_fee) AS total_fees, count(DISTINCT customer_key) AS unique_customers,
             count(*) FILTER (is_fraudulent) AS fraud_count FROM x_fact GROUP BY 1, 2""")
 def daily_revenue_fraud(t):
-    return G.daily_revenue_fraud(t.fact())
+    return G.daily_revenue_fraud(t.sales())
 
 
 # -- change capture --------------------------------------------------------------------
@@ -294,7 +294,7 @@ def cdc_watermark(t):
        """SELECT merchant_key, count(*) AS row_count, sum(amount) AS total_amount, count(DISTINCT customer_key) AS distinct_values
           FROM x_fact GROUP BY 1""")
 def salted_key(t):
-    return L.salted_totals(t.fact(), "merchant_key", "customer_key", "amount")
+    return L.salted_totals(t.sales(), "merchant_key", "customer_key", "amount")
 
 
 @query("hot_key_report", "event_type:s row_count:i share_pct:r over_rule:b over_watch:b",
@@ -315,7 +315,7 @@ def soft_delete(t):
 # -- partitions ------------------------------------------------------------------------------
 def monthly_fact_table(t):
     path = scratch(t.spark, "fact")
-    T.write_partitions(T.by_month(t.fact()).select("year_month", "merchant_key", "customer_key", "amount"), path, ["year_month"],
+    T.write_partitions(T.by_month(t.sales()).select("year_month", "merchant_key", "customer_key", "amount"), path, ["year_month"],
                        sort=["merchant_key"])
     return path
 

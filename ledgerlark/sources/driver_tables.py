@@ -199,12 +199,21 @@ class PaymentTables:
         )
 
     # -- warehouse ---------------------------------------------------------
+    def sales(self) -> DataFrame:
+        """The fact without its geography, which alone needs the customer table."""
+        return self._lines(self._order_lines())
+
     def fact(self) -> DataFrame:
         """One row per order line."""
-        lines = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        joined = lines.join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        joined = self._order_lines().join(self.raw("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        return self._lines(joined, "c_nationkey AS geography_key")
+
+    def _order_lines(self) -> DataFrame:
+        return self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+    def _lines(self, rows: DataFrame, *extra: str) -> DataFrame:
         return (
-            joined.withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)"))
+            rows.withColumn("amount", F.col("l_extendedprice").cast("decimal(18,2)"))
             .withColumn("time_key", X.date_key("o_orderdate"))
             .selectExpr(
                 "l_orderkey AS transaction_id",
@@ -212,7 +221,7 @@ class PaymentTables:
                 "o_custkey AS customer_key",
                 "l_suppkey AS merchant_key",
                 "l_partkey AS payment_method_key",
-                "c_nationkey AS geography_key",
+                *extra,
                 "CAST(l_linenumber % 2 + 1 AS INT) AS product_key",
                 "amount",
                 "CAST(round(amount * CAST(0.0290 AS DECIMAL(5,4)), 2) AS DECIMAL(18,2)) AS processing_fee",

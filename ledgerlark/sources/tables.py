@@ -15,12 +15,12 @@ from ledgerlark.functions import expr as X
 TTL_DAYS = {"api_logs": 90, "user_sessions": 30, "fraud_features": 180, "webhook_events": 60}
 
 
-def scan(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def scan(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Declared table: the schema is given, never inferred."""
     return spark.read.schema(schema).parquet(path)
 
 
-def scan_documents(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:
+def scan_documents(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = True) -> DataFrame:
     """JSON documents, as arrays over several lines or one document per line."""
     return spark.read.schema(schema).option("multiLine", multiline).json(path)
 
@@ -45,7 +45,7 @@ def replace_staging(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "snappy").parquet(path)
 
 
-def read_folder(spark: SparkSession, path: str, schema: StructType, pattern: str = "*.parquet") -> DataFrame:
+def read_folder(spark: SparkSession, path: str, schema: StructType | str, pattern: str = "*.parquet") -> DataFrame:
     """All matching files below ``path``, whatever folders they are in."""
     return spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).parquet(path)
 
