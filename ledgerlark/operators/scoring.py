@@ -72,38 +72,49 @@ def reasons(limit: int = 5) -> Column:
 
 
 # -- evaluation -------------------------------------------------------------------
-def confusion(scores: DataFrame, threshold: float, keys: Sequence[str] = ()) -> DataFrame:
-    """Confusion counts and rates in one pass. Columns ``fraud_score`` and ``is_fraud`` (0/1)."""
+def _outcomes(threshold: float) -> list[Column]:
     hit, fraud = F.col("fraud_score") >= threshold, F.col("is_fraud") == 1
-    counted = scores.groupBy(*keys).agg(
+    return [
         F.count_if(hit & fraud).alias("true_positives"),
         F.count_if(hit & ~fraud).alias("false_positives"),
         F.count_if(~hit & fraud).alias("false_negatives"),
         F.count_if(~hit & ~fraud).alias("true_negatives"),
-    )
+    ]
+
+
+def _with_rates(counted: DataFrame) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("true_positives", "false_positives", "false_negatives", "true_negatives"))
     precision, recall = F.coalesce(X.ratio(tp, tp + fp), F.lit(0.0)), F.coalesce(X.ratio(tp, tp + fn), F.lit(0.0))
-    return (
-        counted.withColumn("precision", precision)
-        .withColumn("recall", recall)
-        .withColumn("f1_score", F.coalesce(X.ratio(2 * tp, 2 * tp + fp + fn), F.lit(0.0)))
-        .withColumn("false_positive_rate", F.coalesce(X.ratio(fp, fp + tn), F.lit(0.0)))
-        .withColumn("false_negative_rate", 1 - recall)
-        .withColumn("accuracy", X.ratio(tp + tn, tp + fp + fn + tn))
-    )
+    return counted.withColumns({
+        "precision": precision,
+        "recall": recall,
+        "f1_score": F.coalesce(X.ratio(2 * tp, 2 * tp + fp + fn), F.lit(0.0)),
+        "false_positive_rate": F.coalesce(X.ratio(fp, fp + tn), F.lit(0.0)),
+        "false_negative_rate": 1 - recall,
+        "accuracy": X.ratio(tp + tn, tp + fp + fn + tn),
+    })
+
+
+def confusion(scores: DataFrame, threshold: float, keys: Sequence[str] = ()) -> DataFrame:
+    """Confusion counts and rates in one pass. Columns ``fraud_score`` and ``is_fraud`` (0/1)."""
+    return _with_rates(scores.groupBy(*keys).agg(*_outcomes(threshold)))
 
 
-def auc(scores: DataFrame, keys: Sequence[str] = (), digits: int = 4) -> DataFrame:
-    """Area under the curve, exact for scores rounded to ``digits`` (10,001 possible values per key).
+def evaluate(scores: DataFrame, threshold: float, keys: Sequence[str] = (), digits: int = 4) -> DataFrame:
+    """``confusion`` and ``auc_roc`` from one pass over the scores.
 
-    Scores are counted per value first, so the window that ranks them is small whatever the data.
+    Outcomes are counted per score rounded to ``digits`` first (at most 10,001 values per key), so
+    the window that ranks the scores for the area is small whatever the data. The area is exact
+    for the rounded scores, the counts for the scores themselves.
     """
-    per_score = scores.groupBy(*keys, F.round("fraud_score", digits).alias("_s")).agg(
-        F.count_if(F.col("is_fraud") == 1).alias("_p"), F.count_if(F.col("is_fraud") == 0).alias("_n"))
+    per_score = scores.groupBy(*keys, F.round("fraud_score", digits).alias("_s")).agg(*_outcomes(threshold))
+    p, n = F.col("true_positives") + F.col("false_negatives"), F.col("false_positives") + F.col("true_negatives")
     below = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    wins = F.col("_p") * (F.coalesce(F.sum("_n").over(below), F.lit(0)) + F.col("_n") / 2)
-    return per_score.withColumn("_w", wins).groupBy(*keys).agg(
-        X.ratio(F.sum("_w"), F.sum("_p") * F.sum("_n")).alias("auc_roc"))
+    won = p * (F.coalesce(F.sum(n).over(below), F.lit(0)) + n / 2)
+    counts = ("true_positives", "false_positives", "false_negatives", "true_negatives")
+    summed = per_score.withColumn("_won", won).groupBy(*keys).agg(
+        X.ratio(F.sum("_won"), F.sum(p) * F.sum(n)).alias("auc_roc"), *[F.sum(c).alias(c) for c in counts])
+    return _with_rates(summed)
 
 
 def threshold_tradeoff(scores: DataFrame, thresholds: Sequence[float] = (0.5, 0.7, 0.9)) -> DataFrame:
@@ -182,7 +193,7 @@ def feedback_labels(payments: DataFrame, disputes: DataFrame, reason: str = "fra
 def monitor(scores: DataFrame, threshold: float = 0.7, drop_pct: float = 5) -> DataFrame:
     """Daily accuracy and area under the curve; ``alert`` when either falls by more than ``drop_pct`` percent."""
     days = scores.withColumn("day", F.to_date("ts"))
-    daily = confusion(days, threshold, ["day"]).join(auc(days, ["day"]), "day")
+    daily = evaluate(days, threshold, ["day"])
     by_day = Window.orderBy("day")  # one row per day
 
     def fell(c):

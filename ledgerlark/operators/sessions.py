@@ -13,14 +13,17 @@ SESSION_GAP_SECONDS = 15 * 60
 
 def session_numbers(events: DataFrame, user: str = "user_id", ts: str = "ts", gap: int = SESSION_GAP_SECONDS,
                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Add ``session_no`` (1, 2, ... per user) and ``stay_seconds`` until the next event of the session."""
+    """Add ``session_no`` (1, 2, ... per user) and ``stay_seconds`` until the next event of the session.
+
+    As in Spark's session windows, events exactly ``gap`` apart are one session.
+    """
     if hot_rows and no_busy_keys(events, [user], hot_rows):
         hot_rows = None
     span = F.lit(gap * 1_000_000)
     e = neighbours(events.withColumn("_us", micros(ts)), [user], "_us", hot_rows)
-    e = e.withColumn("_starts", (F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") >= span)).cast("bigint"))
+    e = e.withColumn("_starts", (F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > span)).cast("bigint"))
     e = running_before(e, [user], "_us", {"_started": "_starts"}, hot_rows=hot_rows)
-    stay = F.when(F.col("_next") - F.col("_us") < span, (F.col("_next") - F.col("_us")) / 1_000_000).otherwise(0.0)
+    stay = F.when(F.col("_next") - F.col("_us") <= span, (F.col("_next") - F.col("_us")) / 1_000_000).otherwise(0.0)
     return (
         e.withColumn("session_no", F.col("_started") + F.col("_starts"))
         .withColumn("stay_seconds", F.floor(stay))

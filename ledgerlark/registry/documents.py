@@ -14,9 +14,9 @@ from ledgerlark.sources.driver_tables import AS_OF_EVENTS as NOW
 AT = f"TIMESTAMP '{NOW}'"
 GAP = 6 * 3600
 
-part("x_numbered", f"""SELECT *, sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL {GAP} SECOND THEN 1 ELSE 0 END)
+part("x_numbered", f"""SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL {GAP} SECOND THEN 1 ELSE 0 END)
       OVER (PARTITION BY user_id ORDER BY ts) AS session_no,
-    CASE WHEN next < ts + INTERVAL {GAP} SECOND THEN floor((epoch_us(next) - epoch_us(ts)) / 1000000) ELSE 0 END AS stay
+    CASE WHEN next <= ts + INTERVAL {GAP} SECOND THEN floor((epoch_us(next) - epoch_us(ts)) / 1000000) ELSE 0 END AS stay
   FROM (SELECT *, '/' || event_type AS page, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev,
     lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next FROM events)""")
 part("x_sessions", f"""SELECT *, date_diff('second', date_trunc('second', session_start), date_trunc('second', last_activity))

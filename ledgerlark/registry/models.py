@@ -108,8 +108,7 @@ SCORED = "SELECT risk AS s, is_fraud AS y, 'risk' AS model, CAST(ts AS DATE) AS
 @query("evaluate_at_threshold", f"auc_roc:r {COUNTS} {RATES}",
        f"SELECT c.*, a.auc_roc FROM ({confusion(SCORED, 0.4, 'model')}) c JOIN ({area(SCORED, 'model')}) a USING (model)")
 def evaluate_at_threshold(t):
-    scores = labelled(t).withColumn("model", F.lit("risk"))
-    return N.confusion(scores, 0.4, ["model"]).join(N.auc(scores, ["model"]), "model")
+    return N.evaluate(labelled(t), 0.4)
 
 
 @query("threshold_tradeoff", "threshold:r caught:i stopped:i fraud_caught_pct:r false_positive_pct:r",
@@ -138,14 +137,13 @@ TWO = f"""{SCORED} UNION ALL SELECT CASE WHEN amount_ratio_to_avg > 1 THEN 0.5 E
           FROM m, p WHERE m.model <> 'risk'""")
 def compare_models(t):
     """Two candidates against the risk score: one by amount, one that knows a little of the truth."""
-    base = labelled(t).withColumn("model", F.lit("risk"))
-    amount = base.withColumns({"model": F.lit("amount"),
-                               "fraud_score": F.when(F.col("amount_ratio_to_avg") > 1, 0.5).otherwise(0.1)})
-    sharper = base.withColumns({"model": F.lit("sharper"),
-                                "fraud_score": F.least(F.col("fraud_score") + 0.001 * F.col("is_fraud"), F.lit(1.0))})
-    columns = ["model", "fraud_score", "is_fraud"]
-    scores = base.select(columns).unionByName(amount.select(columns)).unionByName(sharper.select(columns))
-    metrics = materialise(N.confusion(scores, 0.4, ["model"]).join(N.auc(scores, ["model"]), "model"), "metrics")
+    candidates = F.array(
+        F.struct(F.lit("risk").alias("model"), F.col("fraud_score").alias("s")),
+        F.struct(F.lit("amount").alias("model"), F.when(F.col("amount_ratio_to_avg") > 1, 0.5).otherwise(0.1).alias("s")),
+        F.struct(F.lit("sharper").alias("model"),
+                 F.least(F.col("fraud_score") + 0.001 * F.col("is_fraud"), F.lit(1.0)).alias("s")))
+    scores = labelled(t).select("is_fraud", F.inline(candidates)).withColumnRenamed("s", "fraud_score")
+    metrics = materialise(N.evaluate(scores, 0.4, ["model"]), "metrics")
     return N.compare_models(metrics, "risk")
 
 
@@ -205,9 +203,7 @@ def train_classifier(t):
     """Metrics of a small model on the test split."""
     rows = training_rows(t)
     model = T.train(rows, M.FEATURES, params=SMALL)
-    scores = T.score(model, rows.filter("split = 'test'"), M.FEATURES, ["payment_id", "is_fraud"]).withColumn(
-        "model", F.lit("trees"))
-    return N.confusion(scores, 0.7, ["model"]).join(N.auc(scores, ["model"]), "model")
+    return N.evaluate(T.score(model, rows.filter("split = 'test'"), M.FEATURES, ["payment_id", "is_fraud"]), 0.7)
 
 
 @query("batch_score", "payment_id:i fraud_score:r risk_level:s decision:s")
