@@ -47,33 +47,46 @@ def request_log(requests: DataFrame, kind: str, status: str, as_of) -> DataFrame
                            X.ts(as_of).alias("processed_at"))
 
 
-def portability_json(requests, customers, payments, subscriptions, as_of, controller: str) -> DataFrame:
-    """One JSON document per customer. Each child list is built on its own key before the join.
+def portability_json(requests, customers, payments, subscriptions, as_of, controller: str,
+                     records_per_part: int = 10_000) -> DataFrame:
+    """JSON documents per customer: one, or ``parts`` of about ``records_per_part`` records for a large customer.
 
-    A document holds one person's records; that is the unit the export is for.
+    Records are dealt to parts by their id, so no customer fills a single task and every record
+    is in exactly one part.
     """
     ids = requests.select("customer_id").distinct()
     stamp = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    paid = payments.join(ids, "customer_id")
+    subs = subscriptions.join(ids, "customer_id")
+    sizes = (
+        paid.groupBy("customer_id").agg(F.count("*").alias("n"))
+        .unionByName(subs.groupBy("customer_id").agg(F.count("*").alias("n")))
+        .groupBy("customer_id").agg(F.ceil(F.sum("n") / records_per_part).alias("parts"))
+    )
+    people = customers.join(ids, "customer_id").join(sizes, "customer_id", "left").withColumn(
+        "parts", F.coalesce("parts", F.lit(1)).cast("bigint"))
 
-    def children(df, name, **fields):
+    def children(df, name, record, **fields):
         item = F.struct(*[c.alias(n) for n, c in fields.items()])
-        return df.join(ids, "customer_id").groupBy("customer_id").agg(
-            F.sort_array(F.collect_list(item)).alias(name))
+        dealt = df.join(sizes, "customer_id").withColumn("part", F.pmod(F.hash(record), F.col("parts")))
+        return dealt.groupBy("customer_id", "part").agg(F.sort_array(F.collect_list(item)).alias(name))
 
-    paid = children(payments, "payments", id=F.col("transaction_id"), amount=F.col("amount"),
+    paid = children(paid, "payments", "transaction_id", id=F.col("transaction_id"), amount=F.col("amount"),
                     currency=F.col("currency"), status=F.lower("status"), created_at=F.date_format("created_at", stamp))
-    subs = children(subscriptions, "subscriptions", id=F.col("subscription_id"), plan=F.col("plan_name"),
+    subs = children(subs, "subscriptions", "subscription_id", id=F.col("subscription_id"), plan=F.col("plan_name"),
                     status=F.lower("status"), start_date=F.date_format("created_at", "yyyy-MM-dd"))
     who = F.struct(F.col("customer_id").alias("id"), "email", F.col("nationkey").alias("country"),
                    F.date_format("created_at", stamp).alias("created_at"))
     meta = F.struct(F.date_format(X.ts(as_of), stamp).alias("exported_at"), F.lit(FORMAT_VERSION).alias("format_version"),
-                    F.lit(controller).alias("data_controller"))
-    joined = customers.join(ids, "customer_id").join(paid, "customer_id", "left").join(subs, "customer_id", "left")
-    return joined.select("customer_id", F.size(F.coalesce("payments", F.array())).alias("payment_count"),
-                         F.size(F.coalesce("subscriptions", F.array())).alias("subscription_count"),
-                         F.to_json(F.struct(who.alias("customer"), F.coalesce("payments", F.array()).alias("payments"),
-                                            F.coalesce("subscriptions", F.array()).alias("subscriptions"),
-                                            meta.alias("export_metadata"))).alias("document"))
+                    F.lit(controller).alias("data_controller"), (F.col("part") + 1).alias("part"), "parts")
+    parts = people.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    joined = parts.join(paid, ["customer_id", "part"], "left").join(subs, ["customer_id", "part"], "left")
+    paid_list, sub_list = F.coalesce("payments", F.array()), F.coalesce("subscriptions", F.array())
+    return joined.select(
+        "customer_id", (F.col("part") + 1).alias("part"), "parts", F.size(paid_list).alias("payment_count"),
+        F.size(sub_list).alias("subscription_count"),
+        F.to_json(F.struct(who.alias("customer"), paid_list.alias("payments"), sub_list.alias("subscriptions"),
+                           meta.alias("export_metadata"))).alias("document"))
 
 
 # -- erasure and retention ------------------------------------------------------------

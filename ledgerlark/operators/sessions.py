@@ -32,12 +32,13 @@ def session_numbers(events: DataFrame, user: str = "user_id", ts: str = "ts", ga
 
 
 def session_documents(events: DataFrame, as_of, gap: int = SESSION_GAP_SECONDS, ttl_days: int = 30,
-                      hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """One document per session with its events and page views.
+                      with_events: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """One document per session with its page views, one entry per page.
 
     Columns needed: user_id, ts, event_type, page, device_type. A session whose last activity
-    is within the gap before ``as_of`` is still open and has no ``session_end``. Events are
-    grouped per page first, so a busy page of a session arrives as one row.
+    is within the gap before ``as_of`` is still open and has no ``session_end``. ``with_events``
+    adds the list of single events; leave it out where a user may never pause, because the list
+    is as long as the session.
     """
     numbered = session_numbers(events, gap=gap, hot_rows=hot_rows)
     pages = numbered.groupBy("user_id", "session_no", "page").agg(
@@ -46,14 +47,15 @@ def session_documents(events: DataFrame, as_of, gap: int = SESSION_GAP_SECONDS,
         F.min("ts").alias("_first"),
         F.max("ts").alias("_last"),
         F.max("device_type").alias("device_type"),
-        F.collect_list(F.struct(F.col("ts").alias("timestamp"), "event_type", "page")).alias("_events"),
+        *([F.collect_list(F.struct(F.col("ts").alias("timestamp"), "event_type", "page")).alias("_events")]
+          if with_events else []),
     )
     docs = pages.groupBy("user_id", "session_no").agg(
         F.min("_first").alias("session_start"),
         F.max("_last").alias("last_activity"),
         F.sum("count").alias("actions_count"),
         F.max("device_type").alias("device_type"),
-        F.sort_array(F.flatten(F.collect_list("_events"))).alias("events"),
+        *([F.sort_array(F.flatten(F.collect_list("_events"))).alias("events")] if with_events else []),
         F.sort_array(F.collect_list(F.struct("page", "count", "total_time_seconds"))).alias("page_views"),
     )
     closed = micros("last_activity") + gap * 1_000_000 <= micros(X.ts(as_of))

@@ -47,6 +47,17 @@ def test_portability_document_is_complete(spark, tables):
     assert len(doc["payments"]) == tables.transactions().filter("customer_id = 1").count() > 0
 
 
+def test_large_exports_come_in_parts(spark, tables):
+    """Three records per part: everything once, and no part much larger."""
+    docs = P.portability_json(tables.customers(), tables.customers(), tables.transactions(), tables.subscriptions(), NOW, "Example",
+                              records_per_part=3).collect()
+    ids = [p["id"] for d in docs for p in json.loads(d["document"])["payments"]]
+    assert sorted(ids) == sorted(r[0] for r in tables.transactions().select("transaction_id").collect())
+    assert max(d["parts"] for d in docs) > 3
+    for d in docs:
+        assert 1 <= d["part"] <= d["parts"] and json.loads(d["document"])["customer"]["id"] == d["customer_id"]
+
+
 def test_masks_and_pseudonyms(spark):
     df = spark.createDataFrame([("john@x.com", "4242424242424242", None)], "email string, card string, note string")
     assert rows(P.mask_columns(df, {"email": "email", "card": "last4", "note": "redact"})) == [("jXXX@XXXX.com", "****4242", None)]
