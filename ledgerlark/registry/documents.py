@@ -99,8 +99,7 @@ def engagement_by_device(t):
 def features_by_payment(t):
     """The newest payment's document."""
     newest = t.events().agg(F.max("event_id").alias("id")).scalar()
-    docs = feature_documents(t)
-    return docs.filter(F.col("payment_id") == newest)
+    return D.features_by_payment(feature_documents(t), newest)
 
 
 @query("doc_high_risk_payments",
