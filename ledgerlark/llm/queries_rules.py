@@ -1,0 +1,60 @@
+"""Queries over the line rules, the secret scan and the benchmark search."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlark.llm.line_rules import host_line_rules
+from ledgerlark.llm.registry import query, table
+from ledgerlark.llm.secret_scan import scan
+
+MAX_DOCS = 20
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+win AS (SELECT doc_id, i, words[i:i + 4] AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM d)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, w) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM rep) GROUP BY 1),
+raw AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d),
+filled AS (SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM raw
+           WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM filled GROUP BY 1),
+formed AS (SELECT doc_id, source, len(w) AS words, translate(array_to_string(w, ' '),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS form FROM filled),
+freq AS (SELECT source, form FROM formed GROUP BY 1, 2 HAVING count(DISTINCT doc_id) > {MAX_DOCS}),
+gone AS (SELECT doc_id, CAST(sum(words) AS BIGINT) AS n, count(DISTINCT form) AS n_lines
+         FROM formed JOIN freq USING (source, form) GROUP BY 1),
+base AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM d),
+j AS (SELECT base.*, coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+    n_words - coalesce(gone.n, 0) AS words_left, coalesce(gone.n_lines, 0) AS n_frequent_lines
+  FROM base LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+    AND words_left >= 10 AND 2 * (n_words - words_left) <= n_words AS kept, words_left, n_frequent_lines
+FROM j"""
+
+
+@query("op2_quality_rules", OP2_SQL)
+def op2(spark, sf_dir):
+    judged = host_line_rules(table(spark, sf_dir, "documents"), MAX_DOCS)
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         failed.alias("base_failed"), (~failed & ~F.col("depleted")).alias("kept"), "words_left", "n_frequent_lines")
+
+
+@query("op4_secret_scan")
+def op4(spark, sf_dir):
+    found = scan(table(spark, sf_dir, "documents"), ["doc_id"])
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(*kinds):
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    counts = [F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(listed(of("assign", "access", "hex")), 256).alias("base_sha256"),
+                        listed(F.col("secrets")).alias("spans"))
