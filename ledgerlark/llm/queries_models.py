@@ -1,0 +1,17 @@
+"""Queries over the models: quality classifier, suffix tree, piece tokens."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlark.llm.common import bucket
+from ledgerlark.llm.registry import query, table
+from ledgerlark.llm.suffix_tree import score_texts
+
+
+@query("op9_lm_scoring")
+def op9(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = bucket("doc_id", 10)
+    scored = score_texts(docs, fold != 0, ["doc_id"])
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
