@@ -205,13 +205,13 @@ def add_scores(rows: DataFrame, model: Model | None, carry: list[str]) -> DataFr
     return rows.select(*carry, (1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(35.0)), F.lit(-35.0))))).alias("score"))
 
 
-def score_texts(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``score``, in one narrow pass over the texts."""
-    carry = [c for c in docs.columns if c.lower() != "score"]
+def score_texts(docs: DataFrame, model: Model | None, text: str = "text", name: str = "score") -> DataFrame:
+    """All columns of ``docs`` and the score, in one narrow pass over the texts; a column of that name is replaced."""
+    carry = [c for c in docs.columns if c.lower() != name.lower()]
     if model is None:
-        return docs.select(*carry, F.lit(0.5).alias("score"))
+        return docs.select(*carry, F.lit(0.5).alias(name))
 
     def score(texts: C.Texts) -> list[pa.Array]:
         return [pa.array(model.score(features(texts).astype(np.float32).astype(np.float64)))]
 
-    return C.map_texts(docs, carry, score, [T.StructField("score", T.DoubleType())], text)
+    return C.map_texts(docs, carry, score, [T.StructField(name, T.DoubleType())], text)
