@@ -42,10 +42,9 @@ DISPOSABLE_DOMAINS = ("tempmail.com", "10minutemail.com", "guerrillamail.com")
 HIGH_RISK_INDUSTRIES = ("gambling", "cryptocurrency", "adult_content")
 MEDIUM_RISK_INDUSTRIES = ("travel", "electronics", "jewelry")
 
-# Amount bands in minor units (1-3-10 steps) and parts of the day in hours: percentile and unusual
-# hours are taken over them, so that the state per customer is a fixed number of counters.
+# Amount bands in minor units (1-3-10 steps): the percentile is taken over them, so that the state
+# per customer is a fixed number of counters.
 BANDS = tuple(m * 10**e for e in range(2, 7) for m in (1, 3))
-DAYPART_HOURS = 4
 
 
 @dataclass(frozen=True)
@@ -53,7 +52,7 @@ class Rules:
     high_value_minor: int = 1_000_000
     high_risk_countries: Sequence[str] = ()
     holidays: Sequence[str] = ()
-    rare_daypart_share: float = 0.05
+    rare_hour_share: float = 0.05
     min_browser_version: int = 0
     default_domain_age: int = 365
     domain_ages: dict = field(default_factory=dict)
@@ -73,19 +72,19 @@ def _band(amount: Column) -> Column:
     return sum([F.when(amount > b, 1).otherwise(0) for b in BANDS], F.lit(0))
 
 
-def _daypart() -> Column:
-    return F.floor(F.hour("ts") / DAYPART_HOURS).cast("int")
-
-
 def _dispute_steps(payments: DataFrame, disputes: DataFrame, key: str) -> DataFrame:
-    """Changes in the number of disputed payments of ``key``: all known so far, and of the last 30 days."""
-    d = disputes.select("payment_id", micros("opened_at").alias("_open")).join(
-        payments.select("payment_id", key, micros("ts").alias("_paid")), "payment_id")
+    """Changes in the number of disputes of ``key``, of its disputed payments, and of those of the last 30 days.
+
+    A payment counts as disputed from its first dispute on, however many follow."""
+    opened = micros("opened_at")
+    per_payment = disputes.groupBy("payment_id").agg(F.min(opened).alias("_first"), F.collect_list(opened).alias("_opened"))
+    d = per_payment.join(payments.select("payment_id", key, micros("ts").alias("_paid")), "payment_id")
     ends = f"_paid + {MONTH * 1_000_000}"
-    return d.selectExpr(key, f"""inline(filter(array(
-        named_struct('_us', _open, '_what', 'disputes_all', '_delta', 1L),
-        CASE WHEN _open < {ends} THEN named_struct('_us', _open, '_what', 'disputes_30d', '_delta', 1L) END,
-        CASE WHEN _open < {ends} THEN named_struct('_us', {ends}, '_what', 'disputes_30d', '_delta', -1L) END),
+    return d.selectExpr(key, f"""inline(filter(concat(
+        transform(_opened, o -> named_struct('_us', o, '_what', 'disputes', '_delta', 1L)), array(
+        named_struct('_us', _first, '_what', 'disputed_all', '_delta', 1L),
+        CASE WHEN _first < {ends} THEN named_struct('_us', _first, '_what', 'disputed_30d', '_delta', 1L) END,
+        CASE WHEN _first < {ends} THEN named_struct('_us', {ends}, '_what', 'disputed_30d', '_delta', -1L) END)),
         step -> step IS NOT NULL))""")
 
 
@@ -98,11 +97,11 @@ def customer_state(payments: DataFrame, disputes: DataFrame, hot_rows: int | Non
     if hot_rows and no_busy_keys(payments, ["customer_id"], hot_rows // 5):
         hot_rows = None
     p = payments.withColumns({
-        "_t": micros("ts"), "_good": F.col("status") == "SUCCEEDED", "_band": _band(F.col("amount_minor")), "_part": _daypart(),
+        "_t": micros("ts"), "_good": F.col("status") == "SUCCEEDED", "_band": _band(F.col("amount_minor")), "_hour": F.hour("ts"),
         "_seen": F.struct(micros("ts").alias("us"), "payment_id", F.col("ip_country").alias("country")),
     })
     stream = with_expiries(p, "_t", [HOUR, DAY, WEEK, MONTH], ["customer_id", "amount_minor", "_good", "_band"],
-                           ["payment_id", "_part", "_seen"])
+                           ["payment_id", "_hour", "_seen"])
     counts = {"cards_30d": ("payment_method", MONTH), "merchants_30d": ("merchant_id", MONTH),
               "countries_24h": ("ip_country", DAY)}
     for name, (value, length) in counts.items():
@@ -129,9 +128,9 @@ def customer_measures() -> dict[str, str]:
                      f"squares_{span}": look_back(square, length)}
     for k in range(len(BANDS)):
         measures[f"band_{k}"] = look_back(f"CASE WHEN _band <= {k} THEN 1L END", MONTH)
-    for k in range(24 // DAYPART_HOURS):
-        measures[f"part_{k}"] = look_back(f"CASE WHEN _part = {k} THEN 1L END", None)
-    for name in ("cards_30d", "merchants_30d", "countries_24h", "disputes_all", "disputes_30d"):
+    for k in range(24):
+        measures[f"hour_{k}"] = look_back(f"CASE WHEN _hour = {k} THEN 1L END", None)
+    for name in ("cards_30d", "merchants_30d", "countries_24h", "disputes", "disputed_30d"):
         measures[name] = f"CASE WHEN _what = '{name}' THEN _delta END"
     return measures
 
@@ -183,7 +182,7 @@ def geography(s: dict[str, Column], rules: Rules) -> dict[str, Column]:
                                        F.try_element_at(lat, here), F.try_element_at(lon, here)), F.lit(0.0))
     else:
         km = F.lit(0.0)
-    usual = F.element_at(F.array(*[s[f"part_{k}"] for k in range(24 // DAYPART_HOURS)]), _daypart() + 1)
+    usual = F.element_at(F.array(*[s[f"hour_{k}"] for k in range(24)]), F.hour("ts") + 1)
     changed = (s["countries_24h"] > 1) | ((s["countries_24h"] == 1) & (before != here))
     return {
         "card_country_mismatch": _flag(F.col("card_country") != here),
@@ -192,7 +191,7 @@ def geography(s: dict[str, Column], rules: Rules) -> dict[str, Column]:
         "velocity_km_per_hour": F.when(hours > 0, km / F.nullif(hours, F.lit(0.0))).otherwise(F.lit(0.0)),
         "high_risk_country": _flag(here.isin(list(rules.high_risk_countries))) if rules.high_risk_countries else F.lit(0),
         "country_change_24h": _flag(changed),
-        "timezone_anomaly": _flag(X.ratio(usual, s["n_all"]) < rules.rare_daypart_share),
+        "timezone_anomaly": _flag(X.ratio(usual, s["n_all"]) < rules.rare_hour_share),
     }
 
 
@@ -220,12 +219,12 @@ def customer_history(s: dict[str, Column]) -> dict[str, Column]:
     return {
         "customer_age_days": age,
         "first_transaction_customer": _flag(s["n_all"] == 0),
-        "customer_dispute_history": s["disputes_all"],
+        "customer_dispute_history": s["disputes"],
         "customer_success_rate": F.coalesce(X.ratio(s["ok_all"], s["n_all"]), F.lit(0.0)),
         "days_since_last_transaction": F.coalesce(_days(s["last"]["us"], F.col("_us")), F.lit(9999)),
         "customer_lifetime_value": s["sum_all"].cast("double") / 100,
         "avg_transaction_per_month": F.coalesce(X.ratio(s["n_all"], age.cast("double") / 30), F.lit(0.0)),
-        "chargeback_rate_30d": F.coalesce(X.ratio(s["disputes_30d"], s["n_30d"]), F.lit(0.0)),
+        "chargeback_rate_30d": F.coalesce(X.ratio(s["disputed_30d"], s["n_30d"]), F.lit(0.0)),
     }
 
 
@@ -250,7 +249,7 @@ def merchant_features(payments: DataFrame, disputes: DataFrame, merchants: DataF
         _dispute_steps(payments, disputes, "merchant_id"), allowMissingColumns=True)
     s = running_before(stream, ["merchant_id"], "_us", {
         "m_n_30d": look_back("1L", MONTH), "m_sum_30d": look_back("amount_minor", MONTH), "m_n_all": look_back("1L", None),
-        **{f"m_{w}": f"CASE WHEN _what = '{w}' THEN _delta END" for w in ("disputes_all", "disputes_30d")},
+        **{f"m_{w}": f"CASE WHEN _what = '{w}' THEN _delta END" for w in ("disputed_all", "disputed_30d")},
     }, hot_rows=hot_rows).filter("_after = 0")
     industry = F.lower("industry")
     risk = F.when(industry.isin(*HIGH_RISK_INDUSTRIES), 2).when(industry.isin(*MEDIUM_RISK_INDUSTRIES), 1).otherwise(0)
@@ -258,8 +257,8 @@ def merchant_features(payments: DataFrame, disputes: DataFrame, merchants: DataF
                   "left").select(
         "payment_id",
         F.greatest(F.coalesce(_days(micros("_since"), F.col("_us")), F.lit(0)), F.lit(0)).alias("merchant_age_days"),
-        F.coalesce(X.ratio("m_disputes_30d", "m_n_30d"), F.lit(0.0)).alias("merchant_dispute_rate_30d"),
-        F.coalesce(X.ratio("m_disputes_all", "m_n_all"), F.lit(0.0)).alias("merchant_chargeback_rate"),
+        F.coalesce(X.ratio("m_disputed_30d", "m_n_30d"), F.lit(0.0)).alias("merchant_dispute_rate_30d"),
+        F.coalesce(X.ratio("m_disputed_all", "m_n_all"), F.lit(0.0)).alias("merchant_chargeback_rate"),
         F.coalesce(X.ratio("m_sum_30d", "m_n_30d") / 100, F.lit(0.0)).alias("merchant_avg_ticket"),
         risk.alias("merchant_industry_risk"),
     )
@@ -364,11 +363,13 @@ def time_since_last(payments: DataFrame, hot_rows: int | None = HOT_ROWS) -> Dat
 def locate(rows: DataFrame, ranges: DataFrame, ip: str = "ip_address") -> DataFrame:
     """Join dotted IPv4 addresses to non-overlapping (start_ip, end_ip, country, lat, lon) ranges given as numbers.
 
-    Both sides meet on the upper 16 bits; a range is repeated for the blocks it covers.
+    Both sides meet on the upper 16 bits; a range is repeated for the blocks it covers. Anything but
+    four octets from 0 to 255 (also an IPv6 address) finds no place.
     """
-    parts = F.split(F.col(ip), r"\.")
-    number = sum((F.try_element_at(parts, F.lit(i + 1)).cast("bigint") * 256 ** (3 - i) for i in range(1, 4)),
-                 F.try_element_at(parts, F.lit(1)).cast("bigint") * 256**3)
+    parts = F.split(F.btrim(F.col(ip)), r"\.", -1)
+    octets = [F.when(F.get(parts, F.lit(i)).rlike("^[0-9]{1,3}$"), F.get(parts, F.lit(i)).try_cast("bigint")) for i in range(4)]
+    valid = (F.size(parts) == 4) & F.greatest(*octets).between(0, 255)
+    number = F.when(valid, sum((o * 256 ** (3 - i) for i, o in enumerate(octets)), F.lit(0)))
     def block(c):
         return F.floor(c / 65536)
 

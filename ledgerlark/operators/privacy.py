@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ledgerlark.functions import expr as X
-from ledgerlark.operators.timeslice import HOT_ROWS, previous_row
+from ledgerlark.operators.timeslice import previous_within
 
 FORMAT_VERSION = "1.0"
 RETENTION_YEARS = 7
@@ -217,13 +217,13 @@ def bulk_access(access: DataFrame, export_rows: int = 10_000, pii_rows: int = 1_
     return access.withColumn("findings", F.array_join(finding, ", ")).filter(F.col("findings") != "")
 
 
-def geo_jump(access: DataFrame, principal: str, ts: str, country: str, row_id: str, seconds: int = 3600,
-             hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Accesses whose country differs from the principal's previous access at most ``seconds`` earlier."""
+def geo_jump(access: DataFrame, principal: str, ts: str, country: str, row_id: str, seconds: int = 3600) -> DataFrame:
+    """Accesses whose country differs from the principal's previous access (by time, then id) at most ``seconds`` earlier.
+
+    Two countries at the same instant are such a jump."""
     rows = access.select(row_id, principal, F.col(ts).alias("seen_at"), F.col(country).alias("country"))
-    before = previous_row(rows, [principal], "seen_at", ["country", "seen_at"], tiebreak=row_id, hot_rows=hot_rows)
-    quick = F.unix_micros("seen_at") - F.unix_micros("previous_seen_at") <= seconds * 1_000_000
-    return before.filter((F.col("country") != F.col("previous_country")) & quick)
+    before = previous_within(rows, [principal], "seen_at", row_id, seconds, ["country"])
+    return before.filter(F.col("country") != F.col("previous_country")).withColumnRenamed("previous_at", "previous_seen_at")
 
 
 def consented(customers: DataFrame) -> DataFrame:

@@ -100,19 +100,23 @@ def confusion(scores: DataFrame, threshold: float, keys: Sequence[str] = ()) ->
     return _with_rates(scores.groupBy(*keys).agg(*_outcomes(threshold)))
 
 
-def evaluate(scores: DataFrame, threshold: float, keys: Sequence[str] = (), digits: int = 4) -> DataFrame:
-    """``confusion`` and ``auc_roc`` from one pass over the scores.
+def evaluate(scores: DataFrame, threshold: float, keys: Sequence[str] = (), ranges: int = 1024) -> DataFrame:
+    """``confusion`` and ``auc_roc`` from one pass over the scores (0 to 1). Both are exact.
 
-    Outcomes are counted per score rounded to ``digits`` first (at most 10,001 values per key), so
-    the window that ranks the scores for the area is small whatever the data. The area is exact
-    for the rounded scores, the counts for the scores themselves.
+    Outcomes are counted per score first. Scores are ranked for the area inside ``ranges`` equal parts of
+    0 to 1, and each part is shifted by the outcomes of the parts below, so no window holds all scores.
     """
-    per_score = scores.groupBy(*keys, F.round("fraud_score", digits).alias("_s")).agg(*_outcomes(threshold))
+    per_score = scores.groupBy(*keys, F.col("fraud_score").alias("_s")).agg(*_outcomes(threshold)).withColumn(
+        "_r", F.floor(F.col("_s") * ranges))
     p, n = F.col("true_positives") + F.col("false_negatives"), F.col("false_positives") + F.col("true_negatives")
-    below = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    won = p * (F.coalesce(F.sum(n).over(below), F.lit(0)) + n / 2)
+    earlier = (Window.unboundedPreceding, -1)
+    lower = Window.partitionBy(*keys).orderBy("_r").rowsBetween(*earlier)  # at most ``ranges`` rows
+    offsets = per_score.groupBy(*keys, "_r").agg(F.sum(n).alias("_n")).withColumn(
+        "_offset", F.coalesce(F.sum("_n").over(lower), F.lit(0))).drop("_n")
+    inside = Window.partitionBy(*keys, "_r").orderBy("_s").rowsBetween(*earlier)
+    won = p * (F.col("_offset") + F.coalesce(F.sum(n).over(inside), F.lit(0)) + n / 2)
     counts = ("true_positives", "false_positives", "false_negatives", "true_negatives")
-    summed = per_score.withColumn("_won", won).groupBy(*keys).agg(
+    summed = per_score.join(offsets, [*keys, "_r"]).withColumn("_won", won).groupBy(*keys).agg(
         X.ratio(F.sum("_won"), F.sum(p) * F.sum(n)).alias("auc_roc"), *[F.sum(c).alias(c) for c in counts])
     return _with_rates(summed)
 
@@ -197,7 +201,9 @@ def monitor(scores: DataFrame, threshold: float = 0.7, drop_pct: float = 5) -> D
     by_day = Window.orderBy("day")  # one row per day
 
     def fell(c):
-        return F.coalesce(X.growth_pct(c, F.lag(c).over(by_day)) < -drop_pct, F.lit(False))
+        # A day without scores is no day to compare with.
+        yesterday = F.when(F.lag("day").over(by_day) == F.date_sub("day", 1), F.lag(c).over(by_day))
+        return F.coalesce(X.growth_pct(c, yesterday) < -drop_pct, F.lit(False))
 
     return daily.withColumn("alert", fell("auc_roc") | fell("accuracy"))
 

@@ -231,19 +231,24 @@ def previous_row(df: DataFrame, keys: Sequence[str], ts: str, columns: Sequence[
                      tiebreak="_by" if tiebreak else None, hot_rows=hot_rows)
 
 
-def previous_within(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, seconds: int) -> DataFrame:
-    """Rows whose predecessor (by time, then id) in the group is at most ``seconds`` older; adds ``previous_at``.
+def previous_within(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, seconds: int,
+                    columns: Sequence[str] = ()) -> DataFrame:
+    """Rows whose predecessor (by time, then id) in the group is at most ``seconds`` older; adds ``previous_at`` and
+    the predecessor's ``columns`` with the prefix ``previous_``.
 
     The predecessor is in the same or the previous slice of that length, so the shuffle key is
     (group, slice) and a busy group is spread over time.
     """
     cut = df.withColumn("_slice", _slice(micros(ts), seconds))
     inside = Window.partitionBy(*keys, "_slice").orderBy(ts, row_id)
-    last = cut.groupBy(*keys, "_slice").agg(F.max(ts).alias("_last")).withColumn("_slice", F.col("_slice") + 1)
+    seen = F.struct(F.col(ts).alias("at"), *[F.col(c).alias(c) for c in columns])
+    last = cut.groupBy(*keys, "_slice").agg(F.max_by(seen, F.struct(ts, row_id)).alias("_last")).withColumn(
+        "_slice", F.col("_slice") + 1)
     return (
-        cut.withColumn("_lag", F.lag(ts).over(inside))
+        cut.withColumn("_lag", F.lag(seen).over(inside))
         .join(last, [*keys, "_slice"], "left")
-        .withColumn("previous_at", F.coalesce("_lag", "_last"))
+        .withColumn("_lag", F.coalesce("_lag", "_last"))
+        .withColumns({"previous_at": F.col("_lag.at"), **{f"previous_{c}": F.col(f"_lag.{c}") for c in columns}})
         .filter(micros("previous_at") >= micros(ts) - seconds * 1_000_000)
         .drop("_slice", "_lag", "_last")
     )

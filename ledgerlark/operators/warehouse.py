@@ -64,11 +64,19 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, business_id: str, key: str, t
     )
 
 
-def version_at(rows: DataFrame, dim: DataFrame, business_id: str, date: Column, columns: Sequence[str]) -> DataFrame:
-    """Join the dimension version that was valid on ``date`` (hash or sort-merge on the id, dates as residual)."""
-    versions = dim.select(business_id, F.col("effective_date").alias("_from"), F.col("expiration_date").alias("_to"), *columns)
+def version_at(rows: DataFrame, dim: DataFrame, business_id: str, date: Column, columns: Sequence[str],
+               key: str | None = None) -> DataFrame:
+    """Join the dimension version that was valid on ``date`` (hash or sort-merge on the id, dates as residual).
+
+    Rows without a valid version stay; their ``key`` column is -1 and their other columns are null.
+    """
+    versions = dim.select(F.col(business_id).alias("_id"), F.col("effective_date").alias("_from"),
+                          F.col("expiration_date").alias("_to"), *columns)
     valid = (F.col("_from") <= F.col("_on")) & (F.col("_to").isNull() | (F.col("_on") < F.col("_to")))
-    return rows.withColumn("_on", date).join(versions, business_id).filter(valid).drop("_on", "_from", "_to")
+    found = rows.withColumn("_on", date).join(versions, (F.col(business_id) == F.col("_id")) & valid, "left")
+    if key:
+        found = found.withColumn(key, F.coalesce(key, F.lit(UNKNOWN_KEY)).cast("bigint"))
+    return found.drop("_on", "_from", "_to", "_id")
 
 
 # -- fact ------------------------------------------------------------------------------
@@ -103,11 +111,13 @@ def convert_currency(rows: DataFrame, rates: DataFrame, date: Column, target: st
     """Amount in ``target`` at the rate valid on the day, rounded half up to cents.
 
     ``rates`` (currency, valid_from, valid_to exclusive, rate) is spread to one row per currency
-    and day, a table bounded by the calendar, so that the big side meets it on equality.
+    and day, a table bounded by the calendar, so that the big side meets it on equality. A rate whose
+    end is open is valid up to the last day of ``rows``.
     """
-    daily = rates.select(
-        "currency", "rate",
-        F.explode(F.sequence("valid_from", F.date_sub("valid_to", 1), F.expr("INTERVAL 1 DAY"))).alias("_day"))
+    last = rows.agg(F.date_add(F.max(date), 1).alias("d")).scalar()
+    ends = F.coalesce("valid_to", F.greatest(last, F.date_add("valid_from", 1)))
+    daily = rates.filter(F.col("valid_from") < ends).select(
+        "currency", "rate", F.explode(F.sequence("valid_from", F.date_sub(ends, 1), F.expr("INTERVAL 1 DAY"))).alias("_day"))
     converted = F.when(F.col("currency") == target, F.col("amount")).otherwise(
         F.round(F.col("amount") * F.col("rate"), 2).cast("decimal(18,2)"))
     return rows.withColumn("_day", date).join(daily, ["currency", "_day"], "left").withColumn(
@@ -130,11 +140,17 @@ def changes(log: DataFrame, from_lsn=None, to_lsn=None) -> DataFrame:
     return log.withColumn("operation", name)
 
 
-def net_changes(log: DataFrame, key: str, from_lsn=None, to_lsn=None, order: Sequence[str] = ("lsn",)) -> DataFrame:
+def log_order(log: DataFrame) -> list[str]:
+    """Changes of one transaction share an LSN; ``seqval`` orders them where the log has it."""
+    return [c for c in ("lsn", "seqval") if c in log.columns]
+
+
+def net_changes(log: DataFrame, key: str, from_lsn=None, to_lsn=None, order: Sequence[str] | None = None) -> DataFrame:
     """One row per key with its last image. A key inserted and deleted in the range does not appear.
 
     First and last change come from one aggregation with map-side combine.
     """
+    order = order or log_order(log)
     inside = changes(log, from_lsn, to_lsn).filter(F.col("op") != 3)
     image = [c for c in log.columns if c not in (key, "op", *order)]
     at = F.struct(*order)

@@ -17,6 +17,17 @@ from ledgerlark.operators.ranking import ranked
 def ok():
     return F.col("is_successful")
 
+def from_day(fact: DataFrame, first: int, last: int | None = None) -> DataFrame:
+    """Facts from ``first`` (to ``last``), as yyyymmdd keys. A fact stored by ``year_month`` is also filtered on
+    that column, so that Spark opens the wanted months only."""
+    key = F.col("time_key")
+    inside = key >= first if last is None else key.between(first, last)
+    if "year_month" in fact.columns:
+        month = F.col("year_month")
+        inside &= month >= first // 100 if last is None else month.between(first // 100, last // 100)
+    return fact.filter(inside)
+
+
 def everything():
     """Window over a whole frame; used on aggregated frames of bounded size only."""
     return Window.partitionBy()
@@ -50,7 +61,7 @@ def monthly_revenue_yoy(fact, dim_time, since_year: int, calendar_months: bool =
     twelve rows are always twelve months.
     """
     months = (
-        fact.filter(ok())
+        from_day(fact, since_year * 10000 + 101).filter(ok())
         .join(dim_time, "time_key")
         .filter(F.col("year") >= since_year)
         .groupBy("year", "month", "month_name")
@@ -79,7 +90,7 @@ def monthly_revenue_yoy(fact, dim_time, since_year: int, calendar_months: bool =
 def revenue_by_geography(fact, geography, since_key: int) -> DataFrame:
     total = F.sum("total_revenue").over(everything())
     return (
-        fact.filter(ok() & (F.col("time_key") >= since_key))
+        from_day(fact, since_key).filter(ok())
         .join(geography, "geography_key")
         .groupBy("continent", "region", "country_name", "currency_code")
         .agg(
@@ -98,13 +109,13 @@ def revenue_by_geography(fact, geography, since_key: int) -> DataFrame:
 def revenue_by_tier_industry(fact, merchants, since_key: int) -> DataFrame:
     """Aggregated per merchant before the dimension join; a merchant belongs to one group."""
     per_merchant = (
-        fact.filter(ok() & (F.col("time_key") >= since_key))
+        from_day(fact, since_key).filter(ok())
         .groupBy("merchant_key")
         .agg(F.sum("amount").alias("revenue"), F.count("*").alias("n"))
     )
     groups = (
         per_merchant.join(merchants.filter("is_current"), "merchant_key")
-        .groupBy("merchant_tier", "industry")
+        .groupBy("merchant_tier", "industry", "industry_group")
         .agg(
             F.count("*").alias("merchant_count"),
             F.sum("revenue").alias("total_revenue"),
@@ -120,7 +131,7 @@ def revenue_by_tier_industry(fact, merchants, since_key: int) -> DataFrame:
 
 def revenue_by_month(fact, dim_time, year: int) -> DataFrame:
     return (
-        fact.filter(ok() & F.col("time_key").between(year * 10000 + 101, year * 10000 + 1231))
+        from_day(fact, year * 10000 + 101, year * 10000 + 1231).filter(ok())
         .join(dim_time, "time_key")
         .groupBy("year", "month")
         .agg(F.sum("amount").alias("revenue"), F.count("*").alias("transaction_count"))
@@ -153,7 +164,7 @@ def country_month_fraud(fact, geography, dim_time) -> DataFrame:
 def top_merchants(fact, merchants, year: int, n: int = 10) -> DataFrame:
     """The largest merchants of a year straight from the fact."""
     return (
-        fact.filter(F.col("time_key").between(year * 10000 + 101, year * 10000 + 1231))
+        from_day(fact, year * 10000 + 101, year * 10000 + 1231)
         .groupBy("merchant_key")
         .agg(F.sum("amount").alias("total_revenue"), F.count("*").alias("transaction_count"))
         .orderBy(F.desc("total_revenue"), "merchant_key")
@@ -307,7 +318,7 @@ def _by_method_and_place(fact, methods) -> DataFrame:
 
 def payment_method_by_geo(fact, geography, methods, since_key: int, more_than: int = 100) -> DataFrame:
     grouped = (
-        _by_method_and_place(fact.filter(F.col("time_key") >= since_key), methods)
+        _by_method_and_place(from_day(fact, since_key), methods)
         .join(geography, "geography_key")
         .groupBy("region", "country_name", "type", "card_brand")
         .agg(
@@ -346,7 +357,7 @@ def fraud_by_geo_method(fact, geography, methods, since_key: int, more_than: int
     Groups are (country, type, brand): the countries are a fixed list and brands few.
     """
     grouped = (
-        _by_method_and_place(fact.filter(F.col("time_key") >= since_key), methods)
+        _by_method_and_place(from_day(fact, since_key), methods)
         .join(geography, "geography_key")
         .groupBy("country_name", "region", "type", "card_brand")
         .agg(
@@ -365,7 +376,7 @@ def fraud_by_geo_method(fact, geography, methods, since_key: int, more_than: int
 def fraud_by_time(fact, since_key: int) -> DataFrame:
     at = F.col("transaction_datetime")
     return (
-        fact.filter(F.col("time_key") >= since_key)
+        from_day(fact, since_key)
         .groupBy(F.date_format(at, "EEEE").alias("day_name"), F.hour(at).alias("hour_of_day"))
         .agg(
             F.count("*").alias("transaction_count"),
@@ -379,19 +390,18 @@ def fraud_by_time(fact, since_key: int) -> DataFrame:
 
 # -- key figures -------------------------------------------------------------------
 def exec_kpis(fact, dim_time, since_year: int) -> DataFrame:
-    months = (
-        fact.join(dim_time, "time_key")
-        .filter(F.col("year") >= since_year)
-        .groupBy("year", "month", "month_name")
-        .agg(
-            F.sum("amount").alias("gross_revenue"),
-            F.sum("net_amount").alias("net_revenue"),
-            F.sum("processing_fee").alias("total_fees"),
-            F.countDistinct("customer_key").alias("unique_customers"),
-            F.countDistinct("merchant_key").alias("active_merchants"),
-            *rate_counts(),
-        )
-    )
+    """Customers and merchants of a month are counted from one row per month and key, so that no fact row is repeated
+    for a distinct count."""
+    fact = from_day(fact, since_year * 10000 + 101).withColumn("_m", F.floor(F.col("time_key") / 100))
+    sums = {"gross_revenue": "amount", "net_revenue": "net_amount", "total_fees": "processing_fee"}
+    counts = ("n_all", "n_success", "n_refund", "n_dispute", "n_fraud")
+    per_customer = fact.groupBy("_m", "customer_key").agg(*[F.sum(c).alias(n) for n, c in sums.items()], *rate_counts())
+    totals = per_customer.groupBy("_m").agg(
+        *[F.sum(c).alias(c) for c in (*sums, *counts)], F.count("customer_key").alias("unique_customers"))
+    merchants = fact.groupBy("_m", "merchant_key").agg(F.lit(1)).groupBy("_m").agg(F.count("merchant_key").alias("active_merchants"))
+    names = dim_time.filter(F.col("year") >= since_year).select(
+        "year", "month", "month_name", F.floor(F.col("time_key") / 100).alias("_m")).distinct()
+    months = totals.join(merchants, "_m").join(names, "_m").drop("_m")
     prev = F.lag("gross_revenue").over(Window.orderBy("year", "month"))
     return (
         _rates(months)
@@ -421,11 +431,13 @@ def _merchant_metrics(fact, merchants) -> DataFrame:
     )
 
 
-def merchant_leaderboard(fact, merchants, since_key: int, more_than: int = 10) -> DataFrame:
+def merchant_leaderboard(fact, merchants, geography, since_key: int, more_than: int = 10) -> DataFrame:
+    country = geography.select(F.col("geography_key").alias("nationkey"), "country_name")
     metrics = (
-        _merchant_metrics(fact.filter(F.col("time_key") >= since_key), merchants)
+        _merchant_metrics(from_day(fact, since_key), merchants)
         .filter(F.col("transaction_count") > more_than)
-        .select("merchant_key", "business_name", "industry", "merchant_tier", "transaction_count", "total_revenue",
+        .join(country, "nationkey", "left")
+        .select("merchant_key", "business_name", "industry", "merchant_tier", "country_name", "transaction_count", "total_revenue",
                 "avg_transaction_value", "unique_customers", "success_rate", "refund_rate")
     )
     p = F.col("revenue_percentile")
@@ -475,7 +487,7 @@ def _mean_over(c: str, window) -> Column:
 
 def seasonality(fact, dim_time, since_year: int) -> DataFrame:
     daily = (
-        fact.filter(ok())
+        from_day(fact, since_year * 10000 + 101).filter(ok())
         .join(dim_time, "time_key")
         .filter(F.col("year") >= since_year)
         .groupBy("full_date", "month", "month_name", "week_of_year")

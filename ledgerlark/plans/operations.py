@@ -107,7 +107,7 @@ def top_customers(transactions, customers, as_of, days: int = 90, n: int = 10, p
 def failed_analysis(transactions, as_of, days: int = 7, merchant_id=None) -> DataFrame:
     return (
         only(since(live(transactions), as_of, days, "DAY").filter(F.col("status") == "FAILED"), merchant_id=merchant_id)
-        .groupBy("merchant_id", "failure_code")
+        .groupBy("merchant_id", "failure_code", "failure_message")
         .agg(
             F.count("*").alias("failure_count"),
             F.sum("amount").alias("lost_revenue"),
@@ -233,12 +233,12 @@ def customer_export(customers, methods, transactions, merchants, email: str | No
                          *columns, F.col(at).alias("created_at"))
 
     ids = who.select("customer_id")
-    info = branch(who, "Customer Info", "customer_id", [text("email"), text("full_name"), text("nationkey"), none],
-                  "created_at")
-    cards = branch(methods.join(ids, "customer_id"), "Payment Methods", "payment_method_id",
-                   [text("type"), text("card_brand"), text("last4"), none], "created_at")
+    info = branch(who, "Customer Info", "customer_id", [
+        text("email"), text("first_name"), text("last_name"), text("phone"), text("nationkey")], "created_at")
+    cards = branch(methods.join(ids, "customer_id"), "Payment Methods", "payment_method_id", [
+        text("type"), text("card_brand"), text("last4"), text("exp_month"), text("exp_year")], "created_at")
     paid = branch(transactions.join(ids, "customer_id").join(_merchant(merchants), "merchant_id"), "Transactions",
-                  "transaction_id", [text("amount"), text("currency"), text("status"), text("merchant_name")], "created_at")
+                  "transaction_id", [text("amount"), text("currency"), text("status"), text("merchant_name"), none], "created_at")
     return info.unionByName(cards).unionByName(paid)
 
 

@@ -49,11 +49,11 @@ def revenue_by_geography(t):
 
 
 @query("olap_revenue_by_tier_industry",
-       "merchant_tier:s industry:s merchant_count:i total_revenue:d avg_transaction_value:r revenue_per_merchant:r "
+       "merchant_tier:s industry:s industry_group:s merchant_count:i total_revenue:d avg_transaction_value:r revenue_per_merchant:r "
        "market_share_pct:r",
        """SELECT *, CAST(total_revenue AS DOUBLE) / merchant_count AS revenue_per_merchant,
             CAST(total_revenue AS DOUBLE) / CAST(sum(total_revenue) OVER () AS DOUBLE) * 100 AS market_share_pct
-          FROM (SELECT merchant_tier, industry, count(DISTINCT f.merchant_key) AS merchant_count,
+          FROM (SELECT merchant_tier, industry, industry_group, count(DISTINCT f.merchant_key) AS merchant_count,
             sum(amount) AS total_revenue, CAST(sum(amount) AS DOUBLE) / count(*) AS avg_transaction_value
           FROM x_fact f JOIN x_merchants m ON f.merchant_key = m.merchant_key
           WHERE is_successful AND time_key >= 20000101 GROUP BY ALL)""")
@@ -181,7 +181,7 @@ def exec_kpis(t):
 
 
 @query("olap_merchant_leaderboard",
-       "business_name:s industry:s merchant_tier:s transaction_count:i total_revenue:d avg_transaction_value:r "
+       "business_name:s industry:s merchant_tier:s country_name:s transaction_count:i total_revenue:d avg_transaction_value:r "
        "unique_customers:i success_rate:r refund_rate:r revenue_percentile:r performance_tier:s",
        f"""SELECT *, CASE WHEN revenue_percentile >= 0.9 THEN 'Top 10%' WHEN revenue_percentile >= 0.75 THEN 'Top 25%'
               WHEN revenue_percentile <= 0.1 THEN 'Bottom 10%' ELSE 'Middle 50%' END AS performance_tier
@@ -190,9 +190,9 @@ def exec_kpis(t):
                 CAST(sum(amount) AS DOUBLE) / count(*) AS avg_transaction_value,
                 count(DISTINCT customer_key) AS unique_customers, {RATES}
               FROM x_fact WHERE time_key >= 20000101 GROUP BY 1 HAVING count(*) > 10)
-            JOIN x_merchants USING (merchant_key))""")
+            JOIN x_merchants USING (merchant_key) LEFT JOIN x_geography g ON g.geography_key = nationkey)""")
 def merchant_leaderboard(t):
-    return A.merchant_leaderboard(t.sales(), t.merchants(), 20000101)
+    return A.merchant_leaderboard(t.sales(), t.merchants(), t.geography(), 20000101)
 
 
 @query("olap_daily_moving_avg",

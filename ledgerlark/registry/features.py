@@ -36,7 +36,7 @@ part("x_state", f"""SELECT *, epoch_us(ts) AS us,
     stddev_samp(CAST(amount_minor AS DOUBLE)) {OK} OVER d30 AS dev_30d,
     list({BAND.format('amount_minor')}) OVER d30 AS bands,
     list(ip_country) OVER h24 AS countries, arg_max(ip_country, ts) OVER ever AS last_country, max(ts) OVER ever AS last_ts,
-    list(hour(ts) // 4) OVER ever AS dayparts, count(*) OVER ever AS n_all, count(*) {OK} OVER ever AS ok_all,
+    list(hour(ts)) OVER ever AS hours, count(*) OVER ever AS n_all, count(*) {OK} OVER ever AS ok_all,
     sum(amount_minor) OVER ever AS sum_all,
     min(ts) OVER (PARTITION BY customer_id, device_fingerprint) AS device_ts
   FROM x_payments
@@ -48,8 +48,8 @@ part("x_disputed", """SELECT d.payment_id, d.opened_at, q.customer_id, q.merchan
 
 
 def disputed(key: str) -> str:
-    return f"""SELECT p.payment_id, count(d.payment_id) AS known,
-        count(d.payment_id) FILTER (d.paid_at >= p.ts - INTERVAL 30 DAY) AS recent
+    return f"""SELECT p.payment_id, count(d.payment_id) AS disputes, count(DISTINCT d.payment_id) AS known,
+        count(DISTINCT d.payment_id) FILTER (d.paid_at >= p.ts - INTERVAL 30 DAY) AS recent
       FROM x_payments p LEFT JOIN x_disputed d ON d.{key} = p.{key} AND d.opened_at < p.ts GROUP BY 1"""
 
 
@@ -80,7 +80,7 @@ GEO = f"""CAST(card_country <> ip_country AS INT) AS card_country_mismatch,
   CASE WHEN {GAP} > 0 THEN ({KM}) / {GAP} ELSE 0 END AS velocity_km_per_hour,
   CAST(ip_country = 'FR' AS INT) AS high_risk_country,
   CAST(len([x FOR x IN coalesce(countries, []) IF x <> ip_country]) > 0 AS INT) AS country_change_24h,
-  CASE WHEN n_all = 0 THEN 0 ELSE CAST(CAST(len([x FOR x IN dayparts IF x = hour(ts) // 4]) AS DOUBLE) / n_all < 0.05 AS INT) END
+  CASE WHEN n_all = 0 THEN 0 ELSE CAST(CAST(len([x FOR x IN hours IF x = hour(ts)]) AS DOUBLE) / n_all < 0.05 AS INT) END
     AS timezone_anomaly"""
 DOMAIN = "split_part(s.email, '@', 2)"
 DEVICE = f"""{floor_days('device_ts', 'ts')} AS device_fingerprint_age_days,
@@ -91,7 +91,7 @@ DEVICE = f"""{floor_days('device_ts', 'ts')} AS device_fingerprint_age_days,
   CAST(CAST(regexp_extract(user_agent, 'Chrome/(\\d+)', 1) AS INT) < 100 AS INT) AS browser_version_outdated"""
 AGE = floor_days("c.created_at", "ts")
 CUSTOMER = f"""coalesce({AGE}, 0) AS customer_age_days, CAST(n_all = 0 AS INT) AS first_transaction_customer,
-  k.known AS customer_dispute_history, CASE WHEN n_all > 0 THEN CAST(ok_all AS DOUBLE) / n_all ELSE 0 END
+  k.disputes AS customer_dispute_history, CASE WHEN n_all > 0 THEN CAST(ok_all AS DOUBLE) / n_all ELSE 0 END
     AS customer_success_rate, CASE WHEN last_ts IS NULL THEN 9999 ELSE {floor_days('last_ts', 'ts')} END AS days_since_last_transaction,
   coalesce(sum_all, 0) / 100.0 AS customer_lifetime_value,
   CASE WHEN {AGE} > 0 THEN n_all / (CAST({AGE} AS DOUBLE) / 30) ELSE 0 END AS avg_transaction_per_month,

@@ -9,11 +9,13 @@ FIXTURES = {
         'm' || s_suppkey || '@example.com' AS email, s_nationkey AS nationkey,
         CASE s_suppkey % 5 WHEN 0 THEN 'Electronics' WHEN 1 THEN 'Clothing' WHEN 2 THEN 'Food & Beverage'
              WHEN 3 THEN 'travel' ELSE 'gambling' END AS industry,
+        CASE s_suppkey % 10 WHEN 3 THEN 'Leisure' WHEN 4 THEN 'Leisure' ELSE 'Retail' END AS industry_group,
         CASE WHEN s_acctbal < 3000 THEN 'STARTUP' WHEN s_acctbal < 7000 THEN 'SMB' ELSE 'ENTERPRISE' END AS merchant_tier,
         TIMESTAMP '1994-06-01 00:00:00' + (s_suppkey % 200) * INTERVAL '1' DAY AS created_at,
         s_acctbal < -800 AS is_deleted
       FROM supplier""",
     "x_customers": """SELECT c_custkey AS customer_id, c_custkey AS customer_key, c_name AS full_name,
+        split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name, '+44 20 ' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS phone,
         'c' || c_custkey || CASE c_custkey % 4 WHEN 0 THEN '@gmail.com' WHEN 1 THEN '@tempmail.com'
              ELSE '@example.com' END AS email,
         c_nationkey AS nationkey, c_mktsegment AS customer_segment,
@@ -27,6 +29,7 @@ FIXTURES = {
     "x_methods": """SELECT p_partkey AS payment_method_id, p_partkey AS payment_method_key,
         CASE p_size % 3 WHEN 0 THEN 'CARD' WHEN 1 THEN 'SEPA' ELSE 'WALLET' END AS type,
         CASE WHEN p_size % 3 = 0 THEN p_brand END AS card_brand, p_size % 3 = 2 AS is_digital_wallet,
+        CAST(1 + p_partkey % 12 AS INT) AS exp_month, CAST(2002 + p_partkey % 6 AS INT) AS exp_year,
         lpad(CAST(p_partkey % 10000 AS VARCHAR), 4, '0') AS last4, p_partkey // 3 AS customer_id,
         p_size > 25 AS is_default, p_retailprice >= 905 AS is_active,
         TIMESTAMP '2001-01-01 00:00:00' + (p_partkey % 200) * INTERVAL '1' DAY AS created_at
@@ -44,6 +47,7 @@ FIXTURES = {
         'pi_' || o_orderkey AS payment_intent_id, o_orderkey % 25 AS nationkey,
         CASE WHEN o_orderstatus = 'O' THEN CASE o_orderpriority WHEN '1-URGENT' THEN 'insufficient_funds'
              WHEN '2-HIGH' THEN 'card_declined' ELSE 'processing_error' END END AS failure_code,
+        CASE WHEN o_orderstatus = 'O' THEN 'refused: ' || o_orderpriority END AS failure_message,
         o_orderdate + (o_orderkey % 86400) * INTERVAL '1' SECOND AS created_at,
         o_orderdate + (o_orderkey % 86400) * INTERVAL '1' SECOND + (o_orderkey % 997) * INTERVAL '1' MILLISECOND AS updated_at,
         CAST(round(CAST(o_totalprice AS DECIMAL(18,2)) * CAST(0.0290 AS DECIMAL(5,4)), 2) AS DECIMAL(18,2)) AS processing_fee,

@@ -98,7 +98,7 @@ def area(source: str, keys: str) -> str:
     """Pairs won: for every fraud row the good rows scored below it, ties half."""
     return f"""SELECT {keys}, sum(p * (below + n / 2.0)) / nullif(CAST(sum(p) * sum(n) AS DOUBLE), 0) AS auc_roc
       FROM (SELECT *, coalesce(sum(n) OVER (PARTITION BY {keys} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
-        FROM (SELECT {keys}, round(s, 4) AS s, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM ({source}) GROUP BY ALL))
+        FROM (SELECT {keys}, s, count(*) FILTER (y = 1) AS p, count(*) FILTER (y = 0) AS n FROM ({source}) GROUP BY ALL))
       GROUP BY {keys}"""
 
 
@@ -175,8 +175,9 @@ def label_feedback(t):
 
 
 @query("model_monitor", "day:s accuracy:r auc_roc:r alert:b",
-       f"""SELECT *, coalesce((auc_roc - lag(auc_roc) OVER d) / nullif(lag(auc_roc) OVER d, 0) * 100 < -5, FALSE)
-            OR coalesce((accuracy - lag(accuracy) OVER d) / nullif(lag(accuracy) OVER d, 0) * 100 < -5, FALSE) AS alert
+       f"""SELECT *, coalesce(lag(day) OVER d = day - 1 AND (auc_roc - lag(auc_roc) OVER d) / nullif(lag(auc_roc) OVER d, 0) * 100 < -5, FALSE)
+            OR coalesce(lag(day) OVER d = day - 1 AND (accuracy - lag(accuracy) OVER d) / nullif(lag(accuracy) OVER d, 0) * 100 < -5, FALSE)
+            AS alert
           FROM (SELECT c.day, c.accuracy, a.auc_roc FROM ({confusion(SCORED, 0.4, 'day')}) c JOIN ({area(SCORED, 'day')}) a USING (day))
           WINDOW d AS (ORDER BY day)""")
 def model_monitor(t):

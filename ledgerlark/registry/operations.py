@@ -74,11 +74,11 @@ def top_customers(t):
     return O.top_customers(t.transactions(), t.customers(), NOW)
 
 
-@query("oltp_failed_analysis", "merchant_id:i failure_code:s failure_count:i lost_revenue:d avg_failed_amount:r",
-       f"""SELECT merchant_id, failure_code, count(*) AS failure_count, sum(amount) AS lost_revenue,
+@query("oltp_failed_analysis", "merchant_id:i failure_code:s failure_message:s failure_count:i lost_revenue:d avg_failed_amount:r",
+       f"""SELECT merchant_id, failure_code, failure_message, count(*) AS failure_count, sum(amount) AS lost_revenue,
             CAST(sum(amount) AS DOUBLE) / count(*) AS avg_failed_amount
           FROM x_transactions WHERE NOT is_deleted AND status = 'FAILED' AND created_at >= {AT} - INTERVAL 7 DAY
-          GROUP BY 1, 2""")
+          GROUP BY 1, 2, 3""")
 def failed_analysis(t):
     return O.failed_analysis(t.transactions(), NOW)
 
@@ -158,13 +158,15 @@ def card_audit(t):
     return O.card_audit(t.payment_methods(), t.customers(), t.transactions(), NOW)
 
 
-EXPORT_COLUMNS = "data_type:s customer_id:i record_id:i detail_1:s detail_2:s detail_3:s detail_4:s created_at:t"
+EXPORT_COLUMNS = "data_type:s customer_id:i record_id:i detail_1:s detail_2:s detail_3:s detail_4:s detail_5:s created_at:t"
 EXPORT = """SELECT 'Customer Info' AS data_type, customer_id, customer_id AS record_id, email AS detail_1,
-    full_name AS detail_2, CAST(nationkey AS VARCHAR) AS detail_3, NULL AS detail_4, created_at FROM x_customers
-  UNION ALL SELECT 'Payment Methods', customer_id, payment_method_id, type, card_brand, last4, NULL, pm.created_at
+    first_name AS detail_2, last_name AS detail_3, phone AS detail_4, CAST(nationkey AS VARCHAR) AS detail_5, created_at
+    FROM x_customers
+  UNION ALL SELECT 'Payment Methods', customer_id, payment_method_id, type, card_brand, last4, CAST(exp_month AS VARCHAR),
+    CAST(exp_year AS VARCHAR), pm.created_at
     FROM x_methods pm JOIN x_customers USING (customer_id)
   UNION ALL SELECT 'Transactions', t.customer_id, transaction_id, CAST(amount AS VARCHAR), currency, status, business_name,
-    t.created_at FROM x_transactions t JOIN x_customers USING (customer_id) JOIN x_merchants USING (merchant_id)"""
+    NULL, t.created_at FROM x_transactions t JOIN x_customers USING (customer_id) JOIN x_merchants USING (merchant_id)"""
 
 
 @query("oltp_customer_export", EXPORT_COLUMNS, EXPORT)

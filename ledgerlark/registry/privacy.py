@@ -216,10 +216,10 @@ def bulk_access(t):
 @query("geo_jump", "payment_id:i customer_id:i seen_at:t country:s previous_country:s previous_seen_at:t",
        """SELECT * FROM (SELECT payment_id, customer_id, ts AS seen_at, ip_country AS country,
             lag(ip_country) OVER w AS previous_country, lag(ts) OVER w AS previous_seen_at FROM x_payments
-            WINDOW w AS (PARTITION BY customer_id ORDER BY ts))
+            WINDOW w AS (PARTITION BY customer_id ORDER BY ts, payment_id))
           WHERE country <> previous_country AND seen_at - previous_seen_at <= INTERVAL 1 HOUR""")
 def geo_jump(t):
-    return P.geo_jump(t.payments(), "customer_id", "ts", "ip_country", "payment_id", hot_rows=0)
+    return P.geo_jump(t.payments(), "customer_id", "ts", "ip_country", "payment_id")
 
 
 CONSENT = "CASE WHEN c_acctbal > 5000 THEN 1 WHEN c_acctbal > 0 THEN 0 ELSE 2 END"

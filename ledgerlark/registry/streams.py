@@ -21,9 +21,13 @@ EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type st
 CLOSED = "(SELECT max(ts) - INTERVAL 30 SECOND FROM events)"
 
 
-def events(t):
+def arriving(t):
     raw = J.file_stream(t.spark, t.path, EVENT_SCHEMA, "events.parquet")
-    return J.watermarked(raw.withColumn("ts", F.col("ts").cast("timestamp")))
+    return raw.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def events(t):
+    return J.watermarked(arriving(t))
 
 
 def logs(t):
@@ -90,7 +94,7 @@ def stream_alert(t):
 @query("stream_dedup", "event_id:i ts:t user_id:i event_type:s", "SELECT * FROM events")
 def stream_dedup(t):
     """The same events delivered twice."""
-    return J.run_available(J.deduplicated(events(t).unionByName(events(t))), "dedup")
+    return J.run_available(J.deduplicated(arriving(t).unionByName(arriving(t))), "dedup")
 
 
 @query("stream_velocity", "window_start:t window_end:t customer_id:i payments:i amount_minor:i",
@@ -173,14 +177,5 @@ def stream_join_payment_logs(t):
        "SELECT count(*) AS input_rows, count(*) FILTER (NOT json_valid(props)) AS malformed FROM events")
 def stream_throughput(t):
     path = scratch(t.spark, "throughput")
-
-    def count(batch, batch_id):
-        # A repeated batch replaces its own counts.
-        batch.groupBy("malformed").agg(F.count("*").alias("n")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").parquet(f"{path}/counts/batch={batch_id}")
-
-    run = J.run_each_batch(J.conversion(events(t), "props", "k BIGINT"), "throughput", count, path)
-    totals = t.spark.read.parquet(f"{path}/counts").agg(
-        F.coalesce(F.sum(F.when(F.col("malformed"), F.col("n"))), F.lit(0)).alias("malformed"))
-    return J.throughput(t.spark, run).agg(F.sum("input_rows").alias("input_rows")).select(
-        "input_rows", totals.scalar().alias("malformed"))
+    J.run_each_batch(J.conversion(events(t), "props", "k BIGINT"), "throughput", J.count_batches(f"{path}/counts"), path)
+    return J.throughput(t.spark, f"{path}/counts").agg(F.sum("input_rows").alias("input_rows"), F.sum("malformed").alias("malformed"))

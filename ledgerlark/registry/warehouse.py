@@ -78,12 +78,13 @@ def scd2_merge(t):
 
 
 @query("scd2_pit_join", "transaction_id:i customer_id:i created_at:t customer_key:i customer_segment:s",
-       """SELECT t.*, d.customer_key, d.customer_segment FROM x_transactions t JOIN x_scd2 d USING (customer_id)
-          WHERE effective_date <= CAST(t.created_at AS DATE)
+       """SELECT t.*, coalesce(d.customer_key, -1) AS customer_key, d.customer_segment
+          FROM x_transactions t LEFT JOIN x_scd2 d ON t.customer_id = d.customer_id
+            AND effective_date <= CAST(t.created_at AS DATE)
             AND (expiration_date IS NULL OR CAST(t.created_at AS DATE) < expiration_date)""")
 def scd2_pit_join(t):
     return L.version_at(t.transactions(), customer_dim(t), "customer_id", F.to_date("created_at"),
-                        ["customer_key", "customer_segment"])
+                        ["customer_key", "customer_segment"], "customer_key")
 
 
 @query("segment_customers", "customer_id:i lifetime_value:d first_payment_at:t customer_segment:s", "SELECT * FROM x_segments")
@@ -137,7 +138,7 @@ def surrogate_key_lookup(t):
             AS customer_key FROM customer""")
 def surrogate_key_gen(t):
     last = t.raw("supplier").agg(F.max("s_suppkey").alias("k")).scalar()
-    return dense_keys(t.customers(), "customer_id", "customer_key", last, width=100)
+    return dense_keys(t.customers(), "customer_id", "customer_key", last, per_range=100)
 
 
 RATES = [(c, y, f"{base + step * (y - 1995):.4f}") for c, base, step in (("EUR", 1.05, 0.02), ("GBP", 1.52, 0.03))

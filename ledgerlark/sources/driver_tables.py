@@ -38,6 +38,7 @@ class PaymentTables:
             "s_nationkey AS nationkey",
             "CASE s_suppkey % 5 WHEN 0 THEN 'Electronics' WHEN 1 THEN 'Clothing' "
             "WHEN 2 THEN 'Food & Beverage' WHEN 3 THEN 'travel' ELSE 'gambling' END AS industry",
+            "CASE s_suppkey % 10 WHEN 3 THEN 'Leisure' WHEN 4 THEN 'Leisure' ELSE 'Retail' END AS industry_group",
             "CASE WHEN s_acctbal < 3000 THEN 'STARTUP' WHEN s_acctbal < 7000 THEN 'SMB' "
             "ELSE 'ENTERPRISE' END AS merchant_tier",
             "TIMESTAMP '1994-06-01 00:00:00' + (s_suppkey % 200) * INTERVAL '1' DAY AS created_at",
@@ -50,6 +51,9 @@ class PaymentTables:
             "c_custkey AS customer_id",
             "c_custkey AS customer_key",
             "c_name AS full_name",
+            "split_part(c_name, '#', 1) AS first_name",
+            "split_part(c_name, '#', 2) AS last_name",
+            "concat('+44 20 ', lpad(CAST(c_custkey AS STRING), 8, '0')) AS phone",
             "concat('c', CAST(c_custkey AS STRING), CASE c_custkey % 4 WHEN 0 THEN '@gmail.com' "
             "WHEN 1 THEN '@tempmail.com' ELSE '@example.com' END) AS email",
             "c_nationkey AS nationkey",
@@ -82,6 +86,8 @@ class PaymentTables:
             "CASE WHEN p_size % 3 = 0 THEN p_brand END AS card_brand",
             "p_size % 3 = 2 AS is_digital_wallet",
             "lpad(CAST(p_partkey % 10000 AS STRING), 4, '0') AS last4",
+            "CAST(1 + p_partkey % 12 AS INT) AS exp_month",
+            "CAST(2002 + p_partkey % 6 AS INT) AS exp_year",
             "p_partkey DIV 3 AS customer_id",
             "p_size > 25 AS is_default",
             "p_retailprice >= 905 AS is_active",
@@ -118,6 +124,7 @@ class PaymentTables:
                 "CAST(o_orderkey % 25 AS INT) AS nationkey",
                 "CASE WHEN o_orderstatus = 'O' THEN CASE o_orderpriority WHEN '1-URGENT' THEN 'insufficient_funds' "
                 "WHEN '2-HIGH' THEN 'card_declined' ELSE 'processing_error' END END AS failure_code",
+                "CASE WHEN o_orderstatus = 'O' THEN concat('refused: ', o_orderpriority) END AS failure_message",
                 "CAST(o_orderdate AS TIMESTAMP) + (o_orderkey % 86400) * INTERVAL '1' SECOND AS created_at",
                 "CAST(o_orderdate AS TIMESTAMP) + (o_orderkey % 86400) * INTERVAL '1' SECOND "
                 "+ (o_orderkey % 997) * INTERVAL '0.001' SECOND AS updated_at",

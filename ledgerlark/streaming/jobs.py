@@ -14,10 +14,13 @@ from pyspark.sql.types import StructType
 
 from ledgerlark.functions import expr as X
 from ledgerlark.operators.ranking import latest_per_key
+from ledgerlark.operators.warehouse import log_order
 from ledgerlark.session import materialise, scratch
 from ledgerlark.sources.tables import write_partitions
 
 WATERMARK = "30 seconds"
+#: Retention of the event topic, which is how late a replayed event can come.
+REPLAY = "7 days"
 
 
 # -- sources and sinks --------------------------------------------------------------
@@ -35,6 +38,12 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, schema: StructTy
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("_m")).select("_m.*")
 
 
+def late_rows(query) -> list[dict]:
+    """Rows that the watermark dropped, per stateful operator of the last batches a query still reports."""
+    return [{"batch_id": p["batchId"], "operator": i, "dropped": s["numRowsDroppedByWatermark"]}
+            for p in query.recentProgress for i, s in enumerate(p["stateOperators"])]
+
+
 def watermarked(df: DataFrame, ts: str = "ts", delay: str = WATERMARK) -> DataFrame:
     return df.withWatermark(ts, delay)
 
@@ -108,9 +117,10 @@ def two_window_alerts(logs: DataFrame, width: str = "1 minute", double: str = "2
 
 
 # -- events --------------------------------------------------------------------------------
-def deduplicated(events: DataFrame, event_id: str = "event_id") -> DataFrame:
-    """First arrival of every id; the state is kept for the watermark delay."""
-    return events.dropDuplicatesWithinWatermark([event_id])
+def deduplicated(events: DataFrame, event_id: str = "event_id", ts: str = "ts", remember: str = REPLAY) -> DataFrame:
+    """First arrival of every id of a stream without watermark. Ids are remembered for as long as the topic can
+    replay them; the state store holds that many ids."""
+    return events.withWatermark(ts, remember).dropDuplicatesWithinWatermark([event_id])
 
 
 def velocity(payments: DataFrame, width: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
@@ -171,14 +181,14 @@ def upsert_by_lsn(path: str, key: str, buckets: int = 64) -> Callable[[DataFrame
         spark = batch.sparkSession
         after = batch.filter(F.col("op") != 3).withColumn("is_deleted", F.col("op") == 1).drop("op")
         new = materialise(
-            latest_per_key(after, [key], "lsn").withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets))), "changes")
+            latest_per_key(after, [key], *log_order(after)).withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets))), "changes")
         touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
         if not touched:
             return
         schema = spark.createDataFrame([], new.schema).schema
         spark.createDataFrame([], schema).write.mode("append").partitionBy("bucket").parquet(path)  # makes the folder
         old = spark.read.schema(schema).parquet(path).filter(F.col("bucket").isin(touched))
-        merged = latest_per_key(old.unionByName(new), [key], "lsn").select(new.columns)
+        merged = latest_per_key(old.unionByName(new), [key], *log_order(new)).select(new.columns)
         write_partitions(materialise(merged, "merged"), path, ["bucket"])
 
     return handle
@@ -196,8 +206,15 @@ def conversion(events: DataFrame, text: str, schema: str) -> DataFrame:
     return events.withColumn("_p", parsed).withColumn("malformed", F.col("_p._corrupt").isNotNull()).drop("_p")
 
 
-def throughput(spark: SparkSession, query) -> DataFrame:
-    """One row per micro-batch from the query's progress."""
-    rows = [(p["batchId"], p["timestamp"], p["numInputRows"], float(p.get("processedRowsPerSecond") or 0.0))
-            for p in query.recentProgress]
-    return spark.createDataFrame(rows, "batch_id bigint, started string, input_rows bigint, rows_per_second double")
+def count_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler that writes how many rows came in and how many were malformed; a repeated batch replaces its own counts."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.agg(F.count("*").alias("input_rows"), F.count_if("malformed").alias("malformed"))
+        counts.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={batch_id}")
+
+    return handle
+
+
+def throughput(spark: SparkSession, path: str) -> DataFrame:
+    """One row per micro-batch ever counted below ``path``, however many there were and across restarts."""
+    return spark.read.schema("input_rows bigint, malformed bigint, batch bigint").parquet(path)

@@ -87,3 +87,18 @@ def test_locate_addresses(spark):
     ips = spark.createDataFrame([("10.0.0.0",), ("10.1.255.255",), ("10.2.0.0",), ("192.168.0.7",), ("192.168.1.0",)], "ip_address string")
     assert rows(M.locate(ips, ranges).select("ip_address", "country"), "ip_address") == [
         ("10.0.0.0", "FR"), ("10.1.255.255", "FR"), ("10.2.0.0", None), ("192.168.0.7", "US"), ("192.168.1.0", None)]
+
+
+def test_a_payment_disputed_twice_counts_once(spark, tables):
+    p = payments(spark, {"ts": at(1, 10)}, {"ts": at(9, 10)})
+    twice = spark.createDataFrame([(1, at(3, 1)), (1, at(4, 1))], "payment_id bigint, opened_at timestamp")
+    v = {r["payment_id"]: r for r in M.feature_vector(p, twice, tables.customers(), tables.merchants()).collect()}
+    assert (v[2]["merchant_dispute_rate_30d"], v[2]["merchant_chargeback_rate"], v[2]["chargeback_rate_30d"]) == (1.0, 1.0, 1.0)
+    assert v[2]["customer_dispute_history"] == 2
+
+
+def test_addresses_that_are_none(spark):
+    ranges = spark.createDataFrame([(16777216, 16842751, "AU", -25.0, 133.0)], "start_ip bigint, end_ip bigint, country string, lat double, lon double")
+    asked = spark.createDataFrame([("1.0.3.4",), ("::1",), ("1.0.0",), ("1.0.0.256",), ("1.0.x.1",), ("",), (None,), ("1.0.0.0.1",)], "ip_address string")
+    assert [r["country"] for r in M.locate(asked, ranges).filter("country IS NOT NULL").collect()] == ["AU"]
+    assert M.locate(asked, ranges).count() == 8

@@ -78,6 +78,8 @@ def test_severity_and_geo_jump(spark):
     seen = [(1, "p", day("2024-01-01 10:00"), "FR"), (2, "p", day("2024-01-01 10:59"), "US"), (3, "p", day("2024-01-01 12:00"), "FR")]
     a = spark.createDataFrame(seen, "id bigint, principal string, ts timestamp, country string")
     assert [r["id"] for r in P.geo_jump(a, "principal", "ts", "country", "id").collect()] == [2]
+    twice = a.unionByName(a.filter("id = 3").selectExpr("4 AS id", "principal", "ts", "'DE' AS country"))
+    assert sorted(r["id"] for r in P.geo_jump(twice, "principal", "ts", "country", "id").collect()) == [2, 4]
 
 
 def test_rules_count_null_as_failure(spark):

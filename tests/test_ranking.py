@@ -22,11 +22,11 @@ def test_ranked_single_row(spark):
     assert R.ranked(spark.createDataFrame([(1,)], "v bigint"), "v").first()["percent_rank"] == 0.0
 
 
-@pytest.mark.parametrize("width", [3, 1000])
-def test_dense_keys(spark, width):
-    ids = [7, 2, 900, 12, 5, 13]
+@pytest.mark.parametrize("per_range", [1, 2, 1000])
+@pytest.mark.parametrize("ids", [[7, 2, 900, 12, 5, 13], [hash((i, 7)) for i in range(50)]])
+def test_dense_keys(spark, per_range, ids):
     df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    got = {r["id"]: r["k"] for r in R.dense_keys(df, "id", "k", 100, width=width).collect()}
+    got = {r["id"]: r["k"] for r in R.dense_keys(df, "id", "k", 100, per_range=per_range).collect()}
     assert got == {i: 101 + n for n, i in enumerate(sorted(ids))}
 
 

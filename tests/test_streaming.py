@@ -50,8 +50,25 @@ def test_alert_needs_neighbouring_windows(spark):
 def test_replayed_events_count_once(spark):
     schema = "event_id bigint, ts timestamp"
     one = [(i, T0 + dt.timedelta(seconds=i)) for i in range(5)]
-    stream = J.watermarked(feed(spark, schema, one, one))
-    assert J.run_available(J.deduplicated(stream), "dedup").count() == 5
+    assert J.run_available(J.deduplicated(feed(spark, schema, one, one)), "dedup").count() == 5
+
+
+def test_a_replay_after_days_counts_once(spark):
+    schema = "event_id bigint, ts timestamp"
+    later = [(9, T0 + dt.timedelta(days=6))]
+    stream = J.deduplicated(feed(spark, schema, [(1, T0)], later, [(1, T0)], later))
+    assert J.run_available(stream, "replay").count() == 2
+
+
+def test_throughput_counts_every_batch(spark):
+    """More batches than the query keeps progress of."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    path = scratch(spark, "throughput")
+    batches = [[(f'{{"k": {i}}}',), ("{broken",)] for i in range(6)]
+    counted = J.conversion(feed(spark, "props string", *batches), "props", "k BIGINT")
+    J.run_each_batch(counted, "throughput", J.count_batches(f"{path}/counts"), path)
+    spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert [(r["input_rows"], r["malformed"]) for r in J.throughput(spark, f"{path}/counts").collect()] == [(2, 1)] * 6
 
 
 def test_sessions_stream_and_batch_agree(spark):

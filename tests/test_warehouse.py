@@ -54,7 +54,23 @@ def test_scd2_invariants(spark):
 def test_version_at_boundaries(spark):
     dim = spark.createDataFrame([(1, 5, "old", D(2024, 1, 1), D(2024, 2, 1), False, 1), (2, 5, "new", D(2024, 2, 1), None, True, 2)], DIM)
     facts = spark.createDataFrame([(1, 5, D(2024, 1, 31)), (2, 5, D(2024, 2, 1)), (3, 5, D(2023, 1, 1))], "f int, id bigint, d date")
-    assert rows(L.version_at(facts, dim, "id", F.col("d"), ["segment"]).select("f", "segment"), "f") == [(1, "old"), (2, "new")]
+    found = L.version_at(facts, dim, "id", F.col("d"), ["segment", "k"], "k").select("f", "segment", "k")
+    assert rows(found, "f")[2] == (3, None, -1) and [r[:2] for r in rows(found, "f")[:2]] == [(1, "old"), (2, "new")]
+
+
+def test_open_rates(spark):
+    rates = spark.createDataFrame([("EUR", D(2024, 1, 1), D(2024, 1, 3), 2.0), ("EUR", D(2024, 1, 3), None, 3.0)],
+                                  "currency string, valid_from date, valid_to date, rate double")
+    paid = spark.createDataFrame([(1, "EUR", D(2024, 1, 2), 10.0), (2, "EUR", D(2024, 5, 1), 10.0), (3, "EUR", D(2023, 1, 1), 1.0)],
+                                 "id int, currency string, d date, amount double").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    got = rows(L.convert_currency(paid, rates, F.col("d")).select("id", F.col("converted_amount").cast("double")), "id")
+    assert got == [(1, 20.0), (2, 30.0), (3, None)]
+
+
+def test_changes_of_one_transaction(spark):
+    log = spark.createDataFrame([(1, 5, 2, 2, "B"), (1, 5, 1, 2, "A"), (2, 5, 3, 2, "A"), (2, 5, 4, 1, "A")],
+                                "payment_id bigint, lsn bigint, seqval bigint, op int, status string")
+    assert [(r["payment_id"], r["status"]) for r in L.net_changes(log, "payment_id").collect()] == [(1, "B")]
 
 
 LOG = "payment_id bigint, lsn bigint, op int, status string"
@@ -163,3 +179,15 @@ def test_unknown_keys(spark):
     dim = spark.createDataFrame([(10, 1, True), (11, 1, False)], "k bigint, id bigint, is_current boolean")
     got = L.lookup_key(spark.createDataFrame([(1,), (2,), (None,)], "id bigint"), dim, "id", "k")
     assert sorted(r["k"] for r in got.collect()) == [-1, -1, 10] and L.unresolved(got, "k").count() == 2
+
+
+def test_reports_open_the_wanted_months_only(spark):
+    path = scratch(spark, "fact")
+    rows_ = [(y * 10000 + m * 100 + 1, y * 100 + m, 1, 10.0, True) for y in (2023, 2024) for m in (1, 2, 3)]
+    fact = spark.createDataFrame(rows_, "time_key int, year_month int, merchant_key int, amount double, is_successful boolean")
+    fact.write.partitionBy("year_month").parquet(path)
+    from ledgerlark.plans.analytics import from_day
+
+    plan = from_day(spark.read.parquet(path), 20240101, 20241231)._jdf.queryExecution().executedPlan().toString()
+    assert "year_month" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert from_day(spark.read.parquet(path), 20240201).count() == 2
