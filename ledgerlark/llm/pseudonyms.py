@@ -33,7 +33,7 @@ SHAPES = {
     "date": r"(?<![0-9.-])(?:(?:18|19|20|21)[0-9]{2}([-/])[0-9]{2}\1[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:18|19|20|21)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:18|19|20|21)[0-9]{2})(?![0-9-])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
 }
 KINDS = tuple(SHAPES)
 #: Formats of the dates by length and separator.
