@@ -42,11 +42,15 @@ FAST_TRAVEL = (500, 0.05)
 
 
 def risk_probability() -> Column:
-    p = F.lit(BASE_RISK)
+    """Summed in whole hundredths, so that equal sums are equal numbers and tie in rankings."""
+    def hundredths(weight: float) -> int:
+        return round(weight * 100)
+
+    p = F.lit(hundredths(BASE_RISK))
     for feature, weight in RISK_WEIGHTS:
-        p = p + F.col(feature) * weight
-    p = p + F.when(F.col("velocity_km_per_hour") > FAST_TRAVEL[0], FAST_TRAVEL[1]).otherwise(0.0)
-    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+        p = p + F.col(feature) * hundredths(weight)
+    p = p + F.when(F.col("velocity_km_per_hour") > FAST_TRAVEL[0], hundredths(FAST_TRAVEL[1])).otherwise(0)
+    return F.least(F.greatest(p.cast("double") / 100, F.lit(0.0)), F.lit(1.0))
 
 
 def synthetic_labels(vector: DataFrame, row_id: str = "payment_id", seed: int = 42) -> DataFrame:
