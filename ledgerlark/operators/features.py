@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import expr as X
 from ledgerlark.operators.timeslice import (
-    HOT_ROWS, distinct_deltas, look_back, micros, no_busy_keys, rolling_max, running_before, with_expiries,
+    HOT_ROWS, distinct_deltas, look_back, micros, no_busy_keys, rolling_max, rolling_rank, running_before, with_expiries,
 )
 
 HOUR, DAY = 3600, 86400
@@ -42,10 +42,6 @@ DISPOSABLE_DOMAINS = ("tempmail.com", "10minutemail.com", "guerrillamail.com")
 HIGH_RISK_INDUSTRIES = ("gambling", "cryptocurrency", "adult_content")
 MEDIUM_RISK_INDUSTRIES = ("travel", "electronics", "jewelry")
 
-# Amount bands in minor units (1-3-10 steps): the percentile is taken over them, so that the state
-# per customer is a fixed number of counters.
-BANDS = tuple(m * 10**e for e in range(2, 7) for m in (1, 3))
-
 
 @dataclass(frozen=True)
 class Rules:
@@ -68,10 +64,6 @@ def _days(from_us: Column, to_us: Column) -> Column:
     return F.floor((to_us - from_us) / F.lit(DAY * 1_000_000))
 
 
-def _band(amount: Column) -> Column:
-    return sum([F.when(amount > b, 1).otherwise(0) for b in BANDS], F.lit(0))
-
-
 def _dispute_steps(payments: DataFrame, disputes: DataFrame, key: str) -> DataFrame:
     """Changes in the number of disputes of ``key``, of its disputed payments, and of those of the last 30 days.
 
@@ -97,10 +89,10 @@ def customer_state(payments: DataFrame, disputes: DataFrame, hot_rows: int | Non
     if hot_rows and no_busy_keys(payments, ["customer_id"], hot_rows // 5):
         hot_rows = None
     p = payments.withColumns({
-        "_t": micros("ts"), "_good": F.col("status") == "SUCCEEDED", "_band": _band(F.col("amount_minor")), "_hour": F.hour("ts"),
+        "_t": micros("ts"), "_good": F.col("status") == "SUCCEEDED", "_hour": F.hour("ts"),
         "_seen": F.struct(micros("ts").alias("us"), "payment_id", F.col("ip_country").alias("country")),
     })
-    stream = with_expiries(p, "_t", [HOUR, DAY, WEEK, MONTH], ["customer_id", "amount_minor", "_good", "_band"],
+    stream = with_expiries(p, "_t", [HOUR, DAY, WEEK, MONTH], ["customer_id", "amount_minor", "_good"],
                            ["payment_id", "_hour", "_seen"])
     counts = {"cards_30d": ("payment_method", MONTH), "merchants_30d": ("merchant_id", MONTH),
               "countries_24h": ("ip_country", DAY)}
@@ -126,8 +118,6 @@ def customer_measures() -> dict[str, str]:
     for span, length in (("7d", WEEK), ("30d", MONTH)):
         measures |= {f"ok_{span}": look_back(good, length), f"sum_{span}": look_back(paid, length),
                      f"squares_{span}": look_back(square, length)}
-    for k in range(len(BANDS)):
-        measures[f"band_{k}"] = look_back(f"CASE WHEN _band <= {k} THEN 1L END", MONTH)
     for k in range(24):
         measures[f"hour_{k}"] = look_back(f"CASE WHEN _hour = {k} THEN 1L END", None)
     for name in ("cards_30d", "merchants_30d", "countries_24h", "disputes", "disputed_30d"):
@@ -154,11 +144,9 @@ def _mean_and_spread(s: dict[str, Column], span: str) -> tuple[Column, Column]:
 
 
 def amounts(s: dict[str, Column], rules: Rules) -> dict[str, Column]:
-    """Needs columns ``amount_minor`` and ``max_minor_30d``."""
+    """Needs columns ``amount_minor``, ``max_minor_30d`` and ``not_above_30d``."""
     minor = F.col("amount_minor").cast("double")
     avg, std = _mean_and_spread(s, "7d")
-    below = F.element_at(F.array(*[s[f"band_{k}"] for k in range(len(BANDS))], s["n_30d"]),
-                         _band(F.col("amount_minor")).cast("int") + 1)
     return {
         "avg_amount_7d": avg / 100,
         "stddev_amount_7d": std / 100,
@@ -167,7 +155,7 @@ def amounts(s: dict[str, Column], rules: Rules) -> dict[str, Column]:
         "amount_zscore": F.when(std > 0, (minor - avg) / F.nullif(std, F.lit(0.0))).otherwise(F.lit(0.0)),
         "round_amount": _flag(F.col("amount_minor") % 100 == 0),
         "high_value_flag": _flag(F.col("amount_minor") > rules.high_value_minor),
-        "amount_percentile": F.coalesce(X.ratio(below, s["n_30d"]), F.lit(0.5)),
+        "amount_percentile": F.coalesce(X.ratio("not_above_30d", s["n_30d"]), F.lit(0.5)),
     }
 
 
@@ -273,6 +261,11 @@ def highest_amount(payments: DataFrame) -> DataFrame:
     return rolling_max(payments, ["customer_id"], "ts", "payment_id", good, MONTH, "max_minor_30d")
 
 
+def amount_rank(payments: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """How many of the customer's payments of the last 30 days were not larger."""
+    return rolling_rank(payments, ["customer_id"], "ts", "payment_id", "amount_minor", MONTH, "not_above_30d", hot_rows)
+
+
 def _state_columns(df: DataFrame) -> dict[str, Column]:
     return {c[2:]: F.col(c) for c in df.columns if c.startswith("s_")}
 
@@ -282,6 +275,7 @@ def feature_vector(payments, disputes, customers, merchants, rules: Rules = Rule
     base = customer_state(payments, disputes, hot_rows)
     wide = (
         base.join(highest_amount(payments), "payment_id", "left")
+        .join(amount_rank(payments, hot_rows), "payment_id", "left")
         .join(merchant_features(payments, disputes, merchants, hot_rows), "payment_id", "left")
         .join(customers.select("customer_id", F.col("created_at").alias("customer_since")), "customer_id", "left")
         .join(first_device_use(payments), ["customer_id", "device_fingerprint"], "left")
@@ -313,6 +307,7 @@ def group(name: str, payments, disputes, customers, merchants, rules: Rules = Ru
         found = velocity(s)
     elif name == "amount":
         base, found = base.join(highest_amount(payments), "payment_id", "left"), amounts(s, rules)
+        base = base.join(amount_rank(payments, hot_rows), "payment_id", "left")
     elif name == "geo":
         found = geography(s, rules)
     elif name == "customer":

@@ -113,6 +113,29 @@ def rolling_sums(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, windo
     return found.filter("_after = 0").select(row_id, *[F.col(f"_r_{m}").alias(m) for m in windows])
 
 
+def rolling_rank(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, value: str, seconds: int, name: str,
+                 hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """``row_id`` with the number of rows of the look-back window whose integer ``value`` is not above the row's own.
+
+    Values are read as hexadecimal digits. The rows below a value are, digit by digit, those that share the digits before it
+    and have a smaller one there, which is a running count per (key, shared digits); the rows per task stay bounded
+    as for the other running sums, and a row is repeated once per digit of the largest value.
+    """
+    ends = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    low, digits = ends["lo"] or 0, max(1, -(-((ends["hi"] or 0) - (ends["lo"] or 0)).bit_length() // 4))
+    v = F.col(value) - low
+    places = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.shiftright(v, 4 * (i + 1)).alias("shared"),
+                                          F.shiftright(v, 4 * i).bitwiseAND(F.lit(15)).alias("digit")) for i in range(digits)]))
+    cut = df.filter(F.col(value).isNotNull()).select(*keys, row_id, micros(ts).alias("_t"), places.alias("_p")).select(
+        *keys, row_id, "_t", F.col("_p.i").alias("_i"), F.col("_p.shared").alias("_shared"), F.col("_p.digit").alias("_digit"))
+    stream = with_expiries(cut, "_t", [seconds], [*keys, "_i", "_shared", "_digit"], [row_id])
+    sums = {f"_d{j}": look_back(f"CASE WHEN _digit = {j} THEN 1L END", seconds) for j in range(16)}
+    found = running_before(stream, [*keys, "_i", "_shared"], "_us", sums, hot_rows=hot_rows).filter("_after = 0")
+    not_above = sum((F.when((F.col("_digit") > j) | ((F.col("_digit") == j) & (F.col("_i") == 0)), F.col(f"_d{j}")).otherwise(0)
+                     for j in range(16)), F.lit(0))
+    return found.groupBy(row_id).agg(F.sum(not_above).alias(name))
+
+
 def neighbours(df: DataFrame, keys: Sequence[str], us: str, hot_rows: int | None = HOT_ROWS,
                seconds: int = SLICE_SECONDS) -> DataFrame:
     """Add ``_prev`` and ``_next``: times of the neighbouring rows of the key in time order."""

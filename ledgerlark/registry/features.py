@@ -25,7 +25,6 @@ def back(span: str) -> str:
 
 
 OK = "FILTER (status = 'SUCCEEDED')"
-BAND = "len([b FOR b IN [{}] IF b < {{}}])".format(", ".join(map(str, M.BANDS)))
 
 part("x_state", f"""SELECT *, epoch_us(ts) AS us,
     count(*) OVER h1 AS n_1h, count(*) OVER h24 AS n_24h, count(*) OVER d7 AS n_7d, count(*) OVER d30 AS n_30d,
@@ -34,7 +33,7 @@ part("x_state", f"""SELECT *, epoch_us(ts) AS us,
     stddev_samp(CAST(amount_minor AS DOUBLE)) {OK} OVER d7 AS dev_7d, max(amount_minor) {OK} OVER d30 AS max_30d,
     count(*) {OK} OVER d30 AS ok_30d, CAST(sum(amount_minor) {OK} OVER d30 AS DOUBLE) AS sum_30d,
     stddev_samp(CAST(amount_minor AS DOUBLE)) {OK} OVER d30 AS dev_30d,
-    list({BAND.format('amount_minor')}) OVER d30 AS bands,
+    list(amount_minor) OVER d30 AS amounts,
     list(ip_country) OVER h24 AS countries, arg_max(ip_country, ts) OVER ever AS last_country, max(ts) OVER ever AS last_ts,
     list(hour(ts)) OVER ever AS hours, count(*) OVER ever AS n_all, count(*) {OK} OVER ever AS ok_all,
     sum(amount_minor) OVER ever AS sum_all,
@@ -66,7 +65,7 @@ AMOUNT = f"""{AVG} / 100 AS avg_amount_7d, {DEV} / 100 AS stddev_amount_7d,
   CASE WHEN {AVG} > 0 THEN amount_minor / ({AVG}) ELSE 1 END AS amount_ratio_to_avg,
   CASE WHEN {DEV} > 0 THEN (amount_minor - ({AVG})) / {DEV} ELSE 0 END AS amount_zscore,
   CAST(amount_minor % 100 = 0 AS INT) AS round_amount, CAST(amount_minor > 1000000 AS INT) AS high_value_flag,
-  CASE WHEN n_30d > 0 THEN CAST(len([x FOR x IN bands IF x <= {BAND.format('amount_minor')}]) AS DOUBLE) / n_30d
+  CASE WHEN n_30d > 0 THEN CAST(len([x FOR x IN amounts IF x <= amount_minor]) AS DOUBLE) / n_30d
     ELSE 0.5 END AS amount_percentile"""
 LAT = "CASE {} WHEN 'US' THEN 38.0 WHEN 'FR' THEN 46.0 ELSE 54.0 END"
 LON = "CASE {} WHEN 'US' THEN -97.0 WHEN 'FR' THEN 2.0 ELSE -2.0 END"

@@ -93,3 +93,17 @@ def test_busy_key_is_cut_and_others_are_not(frame):
     cut, any_cut = S.with_slices(frame.withColumn("us", S.micros("ts")), ["key"], "us", 50, 3600)
     slices = {r["key"]: r["n"] for r in cut.groupBy("key").agg(F.countDistinct("_slice").alias("n")).collect()}
     assert any_cut and slices["busy"] > 5 and all(n == 1 for k, n in slices.items() if k != "busy")
+
+
+@pytest.mark.parametrize("hot_rows", [None, 0])
+def test_rolling_rank_counts_what_is_not_larger(spark, hot_rows):
+    import datetime as dt
+    import random
+
+    random.seed(1)
+    start = dt.datetime(2024, 1, 1)
+    data = [(i, i % 2, start + dt.timedelta(hours=random.randrange(200)), random.choice([-5, 0, 3, 17, 255, 256, 9_000_000, 4_000_000])) for i in range(80)]
+    df = spark.createDataFrame(data, "id bigint, k int, ts timestamp, v bigint")
+    got = {r["id"]: r["n"] for r in S.rolling_rank(df, ["k"], "ts", "id", "v", 3 * 86400, "n", hot_rows=hot_rows).collect()}
+    for i, k, ts, v in data:
+        assert got[i] == sum(q == k and ts - dt.timedelta(days=3) <= t < ts and w <= v for _, q, t, w in data)
