@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import expr as X
+from ledgerlark.operators.features import DISPOSABLE_DOMAINS
 
 # (threshold, risk level, decision) from the highest down; the last entry is the default.
 LADDER = ((0.95, "critical", "decline"), (0.70, "high", "review"), (0.40, "medium", "monitor"), (0.0, "low", "approve"))
@@ -53,6 +54,20 @@ def risk_probability() -> Column:
     return F.least(F.greatest(p.cast("double") / 100, F.lit(0.0)), F.lit(1.0))
 
 
+def rule_score(many_disputes: int = 2) -> Column:
+    """Score of a payment from rules that need the payment and its customer's dispute times (``disputed_at``) only.
+
+    Disputes opened at the payment's instant or later are not known yet."""
+    def flag(p: Column) -> Column:
+        return F.coalesce(p.cast("int"), F.lit(0))
+
+    known = F.size(F.filter(F.coalesce("disputed_at", F.array().cast("array<timestamp>")), lambda at: at < F.col("ts")))
+    return (
+        F.lit(0.01) + F.lit(0.15) * flag(F.col("card_country") != F.col("ip_country"))
+        + F.lit(0.20) * flag(F.col("ip_country") != F.col("billing_country"))
+        + F.lit(0.15) * flag(X.email_domain("email").isin(*DISPOSABLE_DOMAINS)) + F.lit(0.40) * flag(known > many_disputes))
+
+
 def synthetic_labels(vector: DataFrame, row_id: str = "payment_id", seed: int = 42) -> DataFrame:
     """Bernoulli labels from the probability and a hash of the id: the same on every run."""
     labelled = vector.withColumn("fraud_probability", risk_probability())

@@ -7,8 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlark.functions import expr as X
-from ledgerlark.operators import features as M
 from ledgerlark.operators import scoring as N
 from ledgerlark.plans.documents import payment_mentions
 from ledgerlark.registry import query
@@ -124,18 +122,8 @@ def stream_sessionize(t):
 part("x_rule_score", """SELECT p.*, coalesce(d.disputes, 0) AS disputes, 0.01 + 0.15 * CAST(card_country <> ip_country AS INT)
     + 0.20 * CAST(ip_country <> billing_country AS INT) + 0.15 * CAST(split_part(email, '@', 2) = 'tempmail.com' AS INT)
     + 0.40 * CAST(coalesce(d.disputes, 0) > 2 AS INT) AS score
-  FROM x_payments p LEFT JOIN (SELECT customer_id, count(*) AS disputes FROM x_disputed GROUP BY 1) d USING (customer_id)""")
-
-
-def rule_score():
-    """Rules that need the payment and the static tables only."""
-    def flag(p):
-        return F.coalesce(p.cast("int"), F.lit(0))
-
-    return (
-        F.lit(0.01) + F.lit(0.15) * flag(F.col("card_country") != F.col("ip_country"))
-        + F.lit(0.20) * flag(F.col("ip_country") != F.col("billing_country"))
-        + F.lit(0.15) * flag(X.email_domain("email").isin(*M.DISPOSABLE_DOMAINS)) + F.lit(0.40) * flag(F.col("disputes") > 2))
+  FROM x_payments p LEFT JOIN (SELECT q.payment_id, count(*) AS disputes FROM x_payments q
+    JOIN x_disputed e ON e.customer_id = q.customer_id AND e.opened_at < q.ts GROUP BY 1) d USING (payment_id)""")
 
 
 @query("stream_score_decide", "payment_id:i fraud_score:r risk_level:s decision:s",
@@ -146,8 +134,8 @@ def rule_score():
               AS decision FROM x_rule_score""")
 def stream_score_decide(t):
     owners = t.payments().select("payment_id", "customer_id")
-    disputes = t.disputes().join(owners, "payment_id").groupBy("customer_id").agg(F.count("*").alias("disputes"))
-    return J.run_available(J.scored(payments(t), disputes, rule_score(), N.decide), "decisions")
+    disputes = t.disputes().join(owners, "payment_id").groupBy("customer_id").agg(F.collect_list("opened_at").alias("disputed_at"))
+    return J.run_available(J.scored(payments(t), disputes, N.rule_score(), N.decide), "decisions")
 
 
 @query("stream_cdc_apply", "payment_id:i status:s amount:d", "SELECT * FROM x_net")
