@@ -189,8 +189,10 @@ def device_and_email(rules: Rules) -> dict[str, Column]:
     domain = X.email_domain("email")
     version = F.try_to_number(F.regexp_extract("user_agent", r"(?:Chrome|Firefox|Safari|Edge)/(\d{1,4})", 1), F.lit("9999"))
     known_age = F.lit(rules.default_domain_age)
-    for name, days in sorted(rules.domain_ages.items()):
-        known_age = F.when(domain == name, F.lit(days)).otherwise(known_age)
+    if rules.domain_ages:
+        names = sorted(rules.domain_ages)
+        ages = F.map_from_arrays(F.lit(names), F.lit([rules.domain_ages[n] for n in names]))
+        known_age = F.coalesce(F.try_element_at(ages, domain), known_age)
     return {
         "device_fingerprint_age_days": F.coalesce(age, F.lit(0)),
         "device_fingerprint_new": _flag(F.coalesce(age, F.lit(0)) < 1),

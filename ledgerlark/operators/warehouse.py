@@ -80,21 +80,25 @@ def version_at(rows: DataFrame, dim: DataFrame, business_id: str, date: Column,
 
 
 # -- fact ------------------------------------------------------------------------------
-def load_fact(transactions, customers, merchants, methods, refunds, chargebacks) -> DataFrame:
-    """Transactions as fact rows. Refunds and chargebacks are summed per transaction before the join."""
+def load_fact(transactions, customers, merchants, methods, refunds, chargebacks, geography, loaded_at) -> DataFrame:
+    """Transactions as fact rows, stamped ``loaded_at``. Refunds and chargebacks are summed per transaction before the join.
+
+    Every dimension key that cannot be resolved is -1.
+    """
     back = refunds.filter("status = 'SUCCEEDED'").groupBy("transaction_id").agg(F.sum("amount").alias("refund_amount"))
     disputed = chargebacks.groupBy("transaction_id").agg(
         F.sum("amount").alias("chargeback_amount"), F.max(F.col("reason_code") == "fraudulent").alias("_fraud"))
     rows = lookup_key(transactions, merchants, "merchant_id", "merchant_key")
     rows = lookup_key(rows, methods, "payment_method_id", "payment_method_key", None)
     rows = lookup_key(rows, customers, "customer_id", "customer_key")
+    rows = lookup_key(rows, geography, "nationkey", "geography_key", None)
     rows = rows.join(back, "transaction_id", "left").join(disputed, "transaction_id", "left")
     none = F.lit(0).cast("decimal(18,2)")
     return rows.select(
         "transaction_id",
         X.date_key("created_at").alias("time_key"),
         "customer_key", "merchant_key", "payment_method_key",
-        F.col("nationkey").alias("geography_key"),
+        "geography_key",
         "amount", "processing_fee", "net_amount",
         F.coalesce("refund_amount", none).alias("refund_amount"),
         F.coalesce("chargeback_amount", none).alias("chargeback_amount"),
@@ -104,6 +108,8 @@ def load_fact(transactions, customers, merchants, methods, refunds, chargebacks)
         F.coalesce("_fraud", F.lit(False)).alias("is_fraudulent"),
         F.lit(1).alias("transaction_count"),
         F.col("created_at").alias("transaction_datetime"),
+        X.ts(loaded_at).alias("inserted_at"),
+        "updated_at",
     )
 
 

@@ -102,11 +102,13 @@ def classify_risk_category(t):
 # -- fact -------------------------------------------------------------------------
 part("x_loaded", """SELECT transaction_id, year(t.created_at) * 10000 + month(t.created_at) * 100 + day(t.created_at) AS time_key,
     coalesce(c.customer_key, -1) AS customer_key, coalesce(m.merchant_key, -1) AS merchant_key,
-    coalesce(p.payment_method_key, -1) AS payment_method_key, t.nationkey AS geography_key, t.amount, t.processing_fee,
+    coalesce(p.payment_method_key, -1) AS payment_method_key, coalesce(g.geography_key, -1) AS geography_key, t.amount, t.processing_fee,
     t.net_amount, coalesce(r.v, 0) AS refund_amount, coalesce(b.v, 0) AS chargeback_amount,
     t.status IN ('SUCCEEDED', 'REFUNDED') AS is_successful, r.v IS NOT NULL AS is_refunded, b.v IS NOT NULL AS is_disputed,
-    coalesce(b.fraud, FALSE) AS is_fraudulent, t.created_at AS transaction_datetime
-  FROM x_transactions t LEFT JOIN (SELECT * FROM x_customers WHERE NOT is_deleted) c USING (customer_id)
+    coalesce(b.fraud, FALSE) AS is_fraudulent, t.created_at AS transaction_datetime,
+    TIMESTAMP '2001-08-01 00:00:00' AS inserted_at, t.updated_at
+  FROM x_transactions t LEFT JOIN (SELECT geography_key, geography_key AS nationkey FROM x_geography WHERE region <> 'AFRICA') g USING (nationkey)
+   LEFT JOIN (SELECT * FROM x_customers WHERE NOT is_deleted) c USING (customer_id)
   LEFT JOIN (SELECT * FROM x_merchants WHERE NOT is_deleted) m USING (merchant_id) LEFT JOIN x_methods p USING (payment_method_id)
   LEFT JOIN (SELECT transaction_id, sum(amount) AS v FROM x_refunds WHERE status = 'SUCCEEDED' GROUP BY 1) r USING (transaction_id)
   LEFT JOIN (SELECT transaction_id, sum(amount) AS v, bool_or(reason_code = 'fraudulent') AS fraud FROM x_chargebacks GROUP BY 1) b
@@ -114,14 +116,16 @@ part("x_loaded", """SELECT transaction_id, year(t.created_at) * 10000 + month(t.
 
 
 def loaded_fact(t):
+    """The geography dimension does not know Africa yet."""
+    places = t.geography().filter("region <> 'AFRICA'").select("geography_key", F.col("geography_key").alias("nationkey"))
     return L.load_fact(t.transactions(), t.customers().filter("NOT is_deleted"), t.merchants().filter("NOT is_deleted"),
-                       t.payment_methods(), t.refunds(), t.chargebacks())
+                       t.payment_methods(), t.refunds(), t.chargebacks(), places, "2001-08-01 00:00:00")
 
 
 @query("load_fact",
        "transaction_id:i time_key:i customer_key:i merchant_key:i payment_method_key:i geography_key:i amount:d "
        "processing_fee:d net_amount:d refund_amount:d chargeback_amount:d is_successful:b is_refunded:b is_disputed:b "
-       "is_fraudulent:b transaction_datetime:t", "SELECT * FROM x_loaded")
+       "is_fraudulent:b transaction_datetime:t inserted_at:t updated_at:t", "SELECT * FROM x_loaded")
 def load_fact(t):
     return loaded_fact(t)
 
