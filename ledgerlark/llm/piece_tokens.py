@@ -360,7 +360,7 @@ class Encoder:
                 order.append(np.array([i]))
         for size in np.unique(lengths[~marks]).tolist():
             rows = np.flatnonzero((lengths == size) & ~marks)
-            step = max(1, 2_000_000 // (size * p.longest))
+            step = max(1, 500_000 // (size * p.longest))
             for k in range(0, len(rows), step):
                 part = rows[k:k + step]
                 found, counts = segment(p, chars[begins[part][:, None] + np.arange(size)], self.pairs)
@@ -421,11 +421,6 @@ class Encoder:
         return [C.ragged(ids, np.concatenate([[0], ends])[offsets], pa.int32())]
 
 
-def encode(df: DataFrame, path: str, carry: list[str], text: str = "text", ids: str = "ids") -> DataFrame:
-    """``carry`` and ``ids``, an array of the text's piece ids."""
-    return C.map_texts(df, carry, Encoder(load(path)), [T.StructField(ids, T.ArrayType(T.IntegerType()))], text, 2 * C.CHUNK)
-
-
 class Decoder:
     def __init__(self, p: Pieces):
         spelled = []
@@ -457,6 +452,31 @@ class Decoder:
             return pa.array([x.decode("utf-8", "replace") for x in out.to_pylist()])
 
 
+class Checked:
+    """Encodes, decodes again, and says of each text whether it came back."""
+
+    def __init__(self, p: Pieces):
+        self.encoder, self.decoder, self.squeeze = Encoder(p), Decoder(p), p.squeeze
+
+    def __call__(self, texts: C.Texts) -> list[pa.Array]:
+        ids = self.encoder(texts)[0]
+        offsets = ids.offsets.to_numpy().astype(np.int64)
+        back = self.decoder(ids.values.to_numpy().astype(np.int64), offsets).to_pylist()
+        data, same = texts.data.tobytes(), []
+        for a, b, text in zip(texts.offsets[:-1].tolist(), texts.offsets[1:].tolist(), back, strict=True):
+            given = data[a:b].decode("utf-8", "replace").replace("▁", " ")
+            same.append(text == (" ".join(w for w in given.split(" ") if w) if self.squeeze else given))
+        return [ids, pa.array(same, pa.bool_())]
+
+
+def encode(df: DataFrame, path: str, carry: list[str], text: str = "text", ids: str = "ids", check: str | None = None) -> DataFrame:
+    """``carry`` and ``ids``, an array of the text's piece ids; with ``check`` also whether decoding them gave the text back."""
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    if check is None:
+        return C.map_texts(df, carry, Encoder(load(path)), fields, text)
+    return C.map_texts(df, carry, Checked(load(path)), [*fields, T.StructField(check, T.BooleanType())], text)
+
+
 def decode(df: DataFrame, path: str, carry: list[str], ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``carry`` and ``text`` from an array of piece ids. Null ids read as none; ids outside the model end the job."""
     decoder, n = Decoder(load(path)), len(carry)
@@ -466,8 +486,8 @@ def decode(df: DataFrame, path: str, carry: list[str], ids: str = "ids", text: s
 
     def run(batches):
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
                 lists = part.column(n).fill_null([])
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
