@@ -369,6 +369,31 @@ def test_tree_is_a_distribution(spark):
             assert known.sum() + factor[0] * 0.75 * len(n) / model.size == pytest.approx(1)
 
 
+def test_tree_grows_with_the_corpus(spark):
+    """A context's evidence counts, not its share: 30 occurrences are kept however many other texts there are; scores do not depend on
+    what tasks hold."""
+    random.seed(5)
+    rare = [f"r{i} left right{i % 3}" for i in range(3) for _ in range(30)]
+    noise = [" ".join(f"w{random.randrange(3000)}" for _ in range(200)) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate(rare + noise)), "doc_id bigint, text string").repartition(4)
+    words = suffix_tree.count_keys(docs, "text", lambda t: t.hashes).withColumnRenamed("key", "word")
+    n = {r.word: r.n for r in words.collect()}
+    model = suffix_tree.fit(docs, "text", words, sum(n.values()), len(n), 0.75)
+    assert [len(level.states) >= 3 for level in model.levels] == [True, True]
+    asked = docs.filter("doc_id in (0, 31, 62, 100)").unionByName(
+        spark.createDataFrame([(-1, "r0 left right1"), (-2, "unheard left right0")], docs.schema))
+    both = docs.filter("doc_id not in (0, 31, 62, 100)").unionByName(asked)
+    learned = F.col("doc_id") >= 0
+    whole = {r.doc_id: r.score for r in suffix_tree.score_texts(both, learned, ["doc_id"]).collect()}
+    assert whole[0] > whole[-1] + 1  # right0 follows "r0 left", right1 does not
+    for entries, words_held in ((0, 0), (500, 100), (0, 1 << 20)):
+        parts = {r.doc_id: r.score for r in suffix_tree.score_texts(
+            both, learned, ["doc_id"], hot_words=words_held, hot_entries=entries).collect()}
+        assert parts == pytest.approx(whole)
+    deeper = {r.doc_id: r.score for r in suffix_tree.score_texts(both, learned, ["doc_id"], depth=3).collect()}
+    assert deeper[0] >= whole[0] - 0.1 and deeper.keys() == whole.keys()
+
+
 def test_scores_of_awkward_rows(spark, awkward, nothing):
     out = suffix_tree.score_texts(awkward, F.lit(True), ["doc_id"]).collect()
     assert len(out) == awkward.count() and all(np.isfinite(r.score) and r.n_known == r.n_tokens for r in out)
