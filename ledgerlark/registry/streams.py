@@ -134,7 +134,7 @@ part("x_rule_score", """SELECT p.*, coalesce(d.disputes, 0) AS disputes, 0.01 +
               AS decision FROM x_rule_score""")
 def stream_score_decide(t):
     owners = t.payments().select("payment_id", "customer_id")
-    disputes = t.disputes().join(owners, "payment_id").groupBy("customer_id").agg(F.collect_list("opened_at").alias("disputed_at"))
+    disputes = N.many_disputed(t.disputes().join(owners, "payment_id").select("customer_id", "opened_at"))
     return J.run_available(J.scored(payments(t), disputes, N.rule_score(), N.decide), "decisions")
 
 

@@ -80,3 +80,18 @@ def test_training_needs_fraud(spark):
     df = spark.createDataFrame([(1, 0, "train")], "a bigint, is_fraud int, split string")
     with pytest.raises(ValueError):
         T.train(df, ["a"])
+
+
+def test_many_disputes_need_one_instant_a_customer(spark):
+    """Only disputes opened before the payment count, however many a customer has; no array of them is made."""
+    start = "timestamp '2024-01-01'"
+    disputes = spark.range(5000).selectExpr(
+        "CASE WHEN id < 4995 THEN 1 WHEN id < 4997 THEN 2 ELSE 3 END AS customer_id", f"{start} + make_dt_interval(0, 0, id) AS opened_at")
+    disputes = disputes.unionByName(spark.sql("SELECT 2 AS customer_id, CAST(NULL AS timestamp) AS opened_at"))
+    known = N.many_disputed(disputes)
+    assert known.dtypes == [("customer_id", "int"), ("many_disputed_at", "timestamp")]
+    asked = spark.sql(f"""SELECT c AS customer_id, {start} + make_dt_interval(0, 0, m) AS ts, 'a' AS card_country, 'a' AS ip_country,
+        'a' AS billing_country, 'x@example.org' AS email FROM VALUES (1, 2), (1, 3), (2, 5000), (3, 4999), (3, 5000), (4, 9) AS t(c, m)""")
+    out = asked.join(known, "customer_id", "left").withColumn("score", N.rule_score())
+    got = rows(out.selectExpr("customer_id", "minute(ts)", "score > 0.4"), "customer_id", "ts")
+    assert [g[2] for g in got] == [False, True, False, False, True, False]
