@@ -31,11 +31,15 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(rb"[0-9a-f]{24,}")
 _NAMES = (b"password", b"passwd", b"secret", b"token", b"api")
 
-# Candidates: base64 in one run or in lines of a key block, hex of either case, three dotted base64url parts.
-_BASE64 = re.compile(rb"[A-Za-z0-9+/]{16,}(?:[A-Za-z0-9+/]|\r?\n(?=[A-Za-z0-9+/=]{4}))*={0,2}")
+# Candidates: base64 that begins like a key encoding, in one run or in lines (indented, or with escaped line ends); hex of either case;
+# three dotted base64url parts.
+_BEGIN = re.compile(rb"(?:(?<![A-Za-z0-9+/])|(?<=\\[nrt]))(?=(?:M|b3BlbnNzaC1rZXkt)[A-Za-z0-9+/])(?=[A-Za-z0-9+/]{16})")
+_RUN = re.compile(rb"[A-Za-z0-9+/]+")
+_LINE_END = re.compile(rb"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)(?:[\x20\t]|\\t)*(?=[A-Za-z0-9+/=])")
 _ANY_HEX = re.compile(rb"(?:[0-9a-f]{2}){24,}|(?:[0-9A-F]{2}){24,}")
-_TOKEN = re.compile(rb"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*")
+_TOKEN = re.compile(rb"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{2,}\.[A-Za-z0-9_-]*))")
 _LONG_RUN = re.compile(rb"[A-Za-z0-9+/_-]{16}")
+_OPENSSH = b"openssh-key-v1\0"
 
 
 def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
@@ -65,19 +69,36 @@ def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
     return out
 
 
+def _container_size(data: bytes) -> int | None:
+    """Size of the OpenSSH container that ``data`` begins with, if its fields up to the last one's length are there."""
+    at, n = len(_OPENSSH), 0
+    while at + 4 <= len(data) and n < 3:  # cipher, key derivation, its options
+        at, n = at + 4 + int.from_bytes(data[at:at + 4], "big"), n + 1
+    keys = int.from_bytes(data[at:at + 4], "big") if at + 4 <= len(data) else 0
+    at += 4
+    for _ in range(keys + 1 if 1 <= keys <= 16 else 0):  # the public keys, then the private block
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at:at + 4], "big")
+    return at if 1 <= keys <= 16 else None
+
+
+def encoded_size(data: bytes) -> int | None:
+    """How many bytes the encoding has that ``data`` begins with, by its own lengths; more may follow."""
+    if data.startswith(_OPENSSH):
+        return _container_size(data)
+    if len(data) < 6 or data[0] != 0x30:
+        return None
+    n = data[1] & 0x7F
+    if data[1] < 0x80:
+        return 2 + n
+    return 2 + n + int.from_bytes(data[2:2 + n], "big") if 1 <= n <= 4 else None
+
+
 def key_kind(data: bytes) -> str | None:
     """The kind of private key that ``data`` encodes completely, or none."""
-    if data.startswith(b"openssh-key-v1\0"):
-        at, n = 15, 0
-        while at + 4 <= len(data) and n < 3:  # cipher, key derivation, its options
-            at, n = at + 4 + int.from_bytes(data[at:at + 4], "big"), n + 1
-        keys = int.from_bytes(data[at:at + 4], "big") if at + 4 <= len(data) else 0
-        at += 4
-        for _ in range(keys + 1 if 1 <= keys <= 16 else 0):  # the public keys, then the private block
-            if at + 4 > len(data):
-                return None
-            at += 4 + int.from_bytes(data[at:at + 4], "big")
-        return "openssh" if 1 <= keys <= 16 and at == len(data) else None
+    if data.startswith(_OPENSSH):
+        return "openssh" if _container_size(data) == len(data) else None
     top = _element(data, 0, len(data))
     if top is None or top[0] != 0x30 or top[2] != len(data):
         return None
@@ -109,14 +130,49 @@ def _is_token(found: bytes) -> bool:
     return head is not None and isinstance(head.get("alg"), str) and _json_object(payload) is not None
 
 
-def _decoded(found: bytes, as_hex: bool) -> bytes | None:
-    try:
-        if as_hex:
-            return binascii.unhexlify(found)
-        clean = re.sub(rb"[\r\n=]", b"", found)
-        return base64.b64decode(clean + b"=" * (-len(clean) % 4), validate=True)
-    except (ValueError, binascii.Error):
+def _base64_key(text: bytes, start: int) -> tuple[int, str] | None:
+    """End and kind of the key whose base64 begins at ``start``. Its own length says where it ends; whatever follows, in the same run
+    or on the next line, is not part of it."""
+    parts: list[bytes] = []
+    ends: list[tuple[int, int]] = []  # characters up to the end of a part, and where that is
+    have, need, data, at = 0, None, b"", start
+    openssh = text.startswith(b"b3Blbn", start)
+    while need is None or have < need:
+        run = _RUN.match(text, at)
+        if run is None:
+            break
+        parts.append(run[0])
+        have += len(run[0])
+        ends.append((have, run.end()))
+        if need is None and not openssh:
+            size = encoded_size(base64.b64decode(parts[0][:8]))
+            if size is None:
+                return None
+            need = (size * 4 + 2) // 3
+        gap = _LINE_END.match(text, run.end())
+        if gap is None:
+            break
+        at = gap.end()
+    clean = b"".join(parts)
+    if openssh:
+        data = base64.b64decode(clean[:len(clean) // 4 * 4])
+        size = _container_size(data + bytes(3))
+        if size is None:
+            return None
+        need = (size * 4 + 2) // 3
+    if need is None or have < need:
+        return None
+    taken = clean[:need]
+    if need % 4 == 1:
+        return None
+    kind = key_kind(base64.b64decode(taken + b"=" * (-need % 4)))
+    if kind is None:
         return None
+    upto, end = next(e for e in ends if e[0] >= need)
+    end -= upto - need
+    for _ in range(-need % 4):
+        end += text[end:end + 1] == b"="
+    return end, kind
 
 
 def spans_of(text: bytes) -> list[tuple[int, int, str]]:
@@ -129,14 +185,18 @@ def spans_of(text: bytes) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "access") for m in _ACCESS.finditer(text)]
     if _LONG_RUN.search(text):
         found += [(*m.span(), "hex") for m in _HEX.finditer(text)]
-        for shape, as_hex in ((_BASE64, False), (_ANY_HEX, True)):
-            for m in shape.finditer(text):
-                data = _decoded(m[0], as_hex)
-                kind = data and key_kind(data)
-                if kind:
-                    found.append((*m.span(), kind))
-    if b"eyJ" in text or b"ewo" in text or b"eyA" in text:
-        found += [(*m.span(), "token") for m in _TOKEN.finditer(text) if _is_token(m[0])]
+        for m in _BEGIN.finditer(text):
+            key = _base64_key(text, m.start())
+            if key:
+                found.append((m.start(), *key))
+        for m in _ANY_HEX.finditer(text):
+            data = binascii.unhexlify(m[0])
+            size = encoded_size(data)
+            kind = key_kind(data[:size]) if size and size <= len(data) else None
+            if kind:
+                found.append((m.start(), m.start() + 2 * size, kind))
+    if text.count(b".") >= 2:
+        found += [(*m.span(1), "token") for m in _TOKEN.finditer(text) if _is_token(m[1])]
     return sorted(set(found), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -228,6 +228,29 @@ def test_plain_shapes_brute_force(spark):
         assert [(s.kind, s.start, s.end) for s in r.secrets if s.kind in ("assign", "access", "hex")] == [(k, s, e) for s, _, k, e in sorted(want)]
 
 
+def test_keys_end_where_their_lengths_say(spark):
+    """Words on the next line, indented lines, escaped line ends and headers of other beginnings; every length modulo three."""
+    texts, want = {}, {}
+    for i in range(6):
+        key = base64.b64encode(der(0x30, number(1) + der(4, bytes(range(1, 33 + i))))).decode()
+        texts[i], want[i] = f"key: {key}\nThis line goes on", ("sec1", key)
+        texts[10 + i], want[10 + i] = f"key: {key.rstrip('=')}\nThis line goes on", ("sec1", key.rstrip("="))
+    whole = base64.b64encode(PKCS8).decode()
+    lines = [whole[i:i + 64] for i in range(0, len(whole), 64)]
+    for i, end in enumerate(("\n    ", "\r\n\t", "\\n", "\\r\\n")):
+        texts[20 + i] = f"-----BEGIN PRIVATE KEY-----{end}{end.join(lines)}{end}-----END"
+        want[20 + i] = ("pkcs8", end.join(lines))
+    ssh = base64.b64encode(ssh_key()).decode().rstrip("=")
+    texts[30], want[30] = f"{ssh}\nword and more", ("openssh", ssh)
+    texts[31], want[31] = f"averylongwordwithoutanyend\n{whole}", ("pkcs8", whole)
+    for i, head in enumerate((' {"alg":"HS256"}', '{\t"alg":"HS256"}', '\n{"alg":"none"}')):
+        token = ".".join(base64.urlsafe_b64encode(x.encode()).decode().rstrip("=") for x in (head, '\t{"a":1}')) + ".c2ln"
+        texts[40 + i], want[40 + i] = f"www12345.example.{token}", ("token", token)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    out = {r.doc_id: [(s.kind, texts[r.doc_id][s.start:s.end]) for s in r.secrets] for r in secret_scan.scan(docs, ["doc_id"]).collect()}
+    assert {k: [v] for k, v in want.items()} == out
+
+
 # Quality classifier
 
 
