@@ -7,6 +7,7 @@ import json
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -338,6 +339,30 @@ def test_pseudonyms_keep_the_format(spark, awkward, nothing):
     assert pseudonyms.pseudonymise_texts(nothing, "key").count() == 0
 
 
+def test_pseudonyms_of_all_letters_and_day_first_dates(spark):
+    names = ["иван", "ИВАН", "őrű", "ōno", "Ά", "δημος", "中文名", "김철수", "straße", "שלום", "ab中и9"]
+    values = [f"{n}@mail.example.com" for n in names] + ["31/12/1999", "13/01/1800", "29/02/2000", "31/12/2199"]
+    docs = spark.createDataFrame(list(enumerate(values)), "doc_id bigint, text string")
+    made = pseudonyms.pseudonymise_texts(docs, "key")
+    out = {r.doc_id: r for r in made.collect()}
+    again = {r.doc_id: r.text for r in pseudonyms.pseudonymise_texts(docs, "other").collect()}
+    assert {r.doc_id: r.text for r in pseudonyms.restore(made, "key").collect()} == dict(enumerate(values))
+    for i, n in enumerate(names):
+        new = out[i].text.removesuffix("@mail.example.com")
+        assert len(new) == len(n) and new != n and all(c.isalpha() or c.isdigit() for c in new) and out[i].n_email == 1
+        assert len(n) < 3 or again[i] != out[i].text
+    assert all("а" <= c <= "я" or c in "ѐёђѓєѕіїјљњћќѝўџ" or "CYRILLIC" in unicodedata.name(c) for c in out[0].text.split("@")[0])
+    for i in range(len(names), len(values)):
+        assert re.fullmatch(r"(1[3-9]|2\d|3[01])/\d\d/(18|19|20|21)\d\d", out[i].text) and out[i].n_date == 1
+    # Every letter of a class reads as a letter, and every late day is found by its number.
+    letters = [chr(c) for _, _, lo, hi, _ in pseudonyms.letter_ranges() for c in range(lo, hi + 1)]
+    assert spark.createDataFrame([(c,) for c in letters], "c string").filter(~F.col("c").rlike(r"^\p{L}$")).count() == 0
+    ranks = spark.range(88497).select(F.col("id").cast("int").alias("r")).withColumn("d", pseudonyms._late_day(F.col("r")))
+    assert ranks.filter((pseudonyms._late_rank(F.col("d")) != F.col("r")) | (F.dayofmonth("d") < 13)).count() == 0
+    kept = spark.createDataFrame([(1, "see ...@mail.example.com")], "doc_id bigint, text string")
+    assert pseudonyms.pseudonymise_texts(kept, "key").first().n_email == 0
+
+
 def test_feistel_permutes(spark):
     """Every IPv4-like pair of small digits maps to another one, none twice."""
     radices = F.array(F.lit(7), F.lit(11))
