@@ -150,7 +150,12 @@ def _chunks(column: pa.Array, limit: int) -> Iterator[tuple[int, int, Texts]]:
 
 def map_texts(df: DataFrame, carry: list[str], fn: Callable[[Texts], list[pa.Array]], fields: list[T.StructField],
               text: str = "text", limit: int = CHUNK) -> DataFrame:
-    """``carry`` columns and what ``fn`` makes of each text, one Arrow array per field; a narrow pass."""
+    """``carry`` columns and what ``fn`` makes of each text, one Arrow array per field; a narrow pass.
+
+    A carried column that is named like a field, in any case, gives way to it.
+    """
+    made = {f.name.lower() for f in fields}
+    carry = [c for c in carry if c.lower() not in made]
     source = df.select(*[df[c] for c in carry], df[text].cast("binary").alias("__text"))
     n = len(carry)
     schema = T.StructType([*source.schema.fields[:n], *fields])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
-MODULES = ("queries_native", "queries_rules", "queries_models")
+MODULES = ("queries_native", "queries_rules", "queries_models", "queries_exact")
 
 
 def query(name: str, sql: str | None = None):
