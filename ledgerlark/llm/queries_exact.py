@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from ledgerlark.llm.exact_dup import mark_copies
+from ledgerlark.llm.periodic_runs import find_runs
 from ledgerlark.llm.registry import query, table
 
 OP11_SQL = """
@@ -14,3 +18,54 @@ FROM t WINDOW w AS (PARTITION BY t)"""
 @query("op11_exact_copies", OP11_SQL)
 def op11(spark, sf_dir):
     return mark_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, a bit at a time."""
+    return f"""xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({text}, ''),
+    lambda c: ascii(c)::BIGINT)), lambda r, c: list_reduce(list_concat([xor(r, c)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {crc_sql("doc_id::VARCHAR")} AS h FROM documents),
+p AS (SELECT *, (h // 10) % len(w) AS a, CAST(1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) AS BIGINT) AS p
+      FROM d WHERE h % 10 = 0 AND len(w) > 0),
+x AS (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) - 1 AS i FROM d WHERE h % 10 <> 0
+      UNION ALL SELECT doc_id, w[CASE WHEN i < a THEN i ELSE a + (i - a) % p END + 1], i
+      FROM (SELECT *, unnest(range(len(w))) AS i FROM p)),
+eq AS (SELECT a.doc_id, b.i - a.i AS q, a.i FROM x a JOIN x b ON a.doc_id = b.doc_id AND a.w = b.w AND a.i < b.i),
+isles AS (SELECT doc_id, q, min(i) AS s, count(*) AS n
+          FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM eq) GROUP BY doc_id, q, g),
+runs AS (SELECT doc_id, s, n + q AS n, min(q) AS q FROM isles WHERE n >= q AND n + q >= 12 GROUP BY ALL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY 1),
+r AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS t,
+      first({{'s': s, 'n': n, 'q': q}} ORDER BY n DESC, s, q) AS best FROM runs GROUP BY 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best.s AS BIGINT) AS start, best.n AS length, CAST(best.q AS BIGINT) AS period,
+  CAST(1000 * best.n // best.q AS BIGINT) AS exponent_milli, sha256(coalesce(r.t, '')) AS runs_sha256,
+  sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """One document of ten, told by its id, with its words from a place on replaced by repeats of the first of them."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    found = docs.withColumns({"h": h, "w": F.when(h % 10 == 0, F.expr(r"regexp_extract_all(text, r'[^\x20\x09-\x0D]+', 0)"))})
+    sized = found.withColumns({"g": F.floor(F.col("h") / 10), "n": F.size("w")})
+    placed = sized.withColumn("a", F.expr("CASE WHEN n > 0 THEN CAST(g % n AS INT) END"))
+    stepped = placed.withColumn("p", F.expr("CASE WHEN n > 0 THEN CAST(1 + floor((n - a) / (3 + g % 8)) AS INT) END"))
+    again = F.expr("""array_join(concat(slice(w, 1, a),
+        slice(flatten(array_repeat(slice(w, a + 1, p), CAST(ceil((n - a) / p) AS INT))), 1, n - a)), ' ')""")
+    return stepped.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs", OP12_SQL)
+def op12(spark, sf_dir):
+    found = find_runs(planted(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"])
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("least"), r["start"].alias("start"), r["period"].alias("period"))))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.least")).alias("length"),
+        F.col("best.period").alias("period"), F.expr("(1000 * -best.least) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
