@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import expr as X
@@ -24,8 +24,10 @@ def session_numbers(events: DataFrame, user: str = "user_id", ts: str = "ts", ga
     e = e.withColumn("_starts", (F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > span)).cast("bigint"))
     e = running_before(e, [user], "_us", {"_started": "_starts"}, hot_rows=hot_rows)
     stay = F.when(F.col("_next") - F.col("_us") <= span, (F.col("_next") - F.col("_us")) / 1_000_000).otherwise(0.0)
+    # Of rows of one instant only the first is seen to start the session; all of them belong to it.
+    begins = F.max("_starts").over(Window.partitionBy(user, "_us"))
     return (
-        e.withColumn("session_no", F.col("_started") + F.col("_starts"))
+        e.withColumn("session_no", F.col("_started") + begins)
         .withColumn("stay_seconds", F.floor(stay))
         .drop("_us", "_prev", "_next", "_starts", "_started")
     )

@@ -7,13 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlark.operators import features as M
+from ledgerlark.operators import models as T
 from ledgerlark.operators import scoring as N
 from ledgerlark.plans.documents import payment_mentions
+from ledgerlark.registry import documents as D
 from ledgerlark.registry import query
+from ledgerlark.registry.features import RULES, back
+from ledgerlark.registry.models import SMALL, quoted, training_rows
 from ledgerlark.registry.fixture_sql import part
 from ledgerlark.session import scratch
 from ledgerlark.sources.driver_tables import API_LOG_COLUMNS, PAYMENT_COLUMNS
 from ledgerlark.streaming import jobs as J
+from ledgerlark.streaming import scoring as L
+from ledgerlark.streaming import stateful as K
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 CLOSED = "(SELECT max(ts) - INTERVAL 30 SECOND FROM events)"
@@ -167,3 +174,78 @@ def stream_throughput(t):
     path = scratch(t.spark, "throughput")
     J.run_each_batch(J.conversion(events(t), "props", "k BIGINT"), "throughput", J.count_batches(f"{path}/counts"), path)
     return J.throughput(t.spark, f"{path}/counts").agg(F.sum("input_rows").alias("input_rows"), F.sum("malformed").alias("malformed"))
+
+
+# -- keyed state ------------------------------------------------------------------------------
+def stateful(t, df, name):
+    with K.state_store(t.spark):
+        return J.run_available(df, name)
+
+
+@query("stream_velocity_24h", "payment_id:i customer_id:i count_1h:i amount_minor_1h:i count_24h:i amount_minor_24h:i",
+       f"""SELECT payment_id, customer_id, count(*) OVER h1 AS count_1h, coalesce(sum(amount_minor) OVER h1, 0) AS amount_minor_1h,
+            count(*) OVER h24 AS count_24h, coalesce(sum(amount_minor) OVER h24, 0) AS amount_minor_24h FROM x_payments
+          WINDOW h1 AS {back('INTERVAL 1 HOUR')}, h24 AS {back('INTERVAL 24 HOUR')} QUALIFY ts <= {CLOSED}""")
+def stream_velocity_24h(t):
+    """Exact counts and amounts before each payment, from keyed state."""
+    sums = K.look_back_sums(payments(t), "customer_id", "payment_id", ["amount_minor"], {"1h": M.HOUR, "24h": M.DAY})
+    return stateful(t, sums, "velocity-24h").withColumnsRenamed({"n_1h": "count_1h", "n_24h": "count_24h"})
+
+
+def page_events(t):
+    return events(t).withColumn("page", F.concat(F.lit("/"), "event_type")).withColumn(
+        "device_type", F.expr("CASE user_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END"))
+
+
+@query("stream_session_documents",
+       "user_id:i session_start:t last_activity:t actions_count:i duration_seconds:i device_type:s events:s",
+       f"""SELECT s.*, e.events FROM x_sessions s JOIN (SELECT user_id, session_no,
+            string_agg(strftime(ts, '%H:%M:%S.%f') || event_type || page, ' ' ORDER BY ts, event_type, page) AS events FROM x_numbered GROUP BY 1, 2) e
+          USING (user_id, session_no) WHERE last_activity + INTERVAL {D.GAP} SECOND <= {CLOSED}""")
+def stream_session_documents(t):
+    """Sessions closed by timer, in parts of five events that are put together again."""
+    parts = stateful(t, K.session_documents(page_events(t), gap=D.GAP, chunk=5), "session-documents")
+    told = F.transform("events", lambda e: F.concat(F.date_format(e["timestamp"], "HH:mm:ss.SSSSSS"), e["event_type"], e["page"]))
+    texts = parts.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("chunk", F.array_join(told, " ").alias("t")))).alias("all"))
+    return parts.filter("closed").drop("events").join(
+        texts.select("session_id", F.array_join(F.transform("all", lambda x: x["t"]), " ").alias("events")), "session_id")
+
+
+@query("stream_page_views", "user_id:i session_start:t page:s count:i total_time_seconds:i",
+       f"""SELECT s.user_id, s.session_start, p.* FROM x_sessions s JOIN (SELECT user_id, session_no, page, count(*) AS count,
+            CAST(sum(stay) AS BIGINT) AS total_time_seconds FROM x_numbered GROUP BY 1, 2, 3) p USING (user_id, session_no)
+          WHERE last_activity + INTERVAL {D.GAP} SECOND <= {CLOSED}""")
+def stream_page_views(t):
+    return K.whole_sessions(stateful(t, K.session_documents(page_events(t), gap=D.GAP, chunk=5), "page-views"))
+
+
+LIVE_COLUMNS = "payment_id:i " + " ".join(f"{f}:r" for f in L.LIVE)
+
+
+@query("stream_live_features", LIVE_COLUMNS, f"SELECT * FROM x_vector WHERE ts <= {CLOSED}")
+def stream_live_features(t):
+    return stateful(t, L.live_features(payments(t), RULES), "live-features")
+
+
+LIVE_REASONS = ", ".join(f"CASE WHEN {rule} THEN {quoted(text)} END" for rule, text in N.REASONS if rule.split()[0] in L.LIVE)
+
+
+@query("stream_score_model", "payment_id:i reasons:s same_score:b same_decision:b model_version:i",
+       f"""SELECT payment_id, array_to_string(CASE WHEN len(r) = 0 THEN ['{N.NO_REASON}'] ELSE r[1:5] END, '; ') AS reasons,
+            TRUE AS same_score, TRUE AS same_decision, 2 AS model_version
+          FROM (SELECT payment_id, [x FOR x IN [{LIVE_REASONS}] IF x IS NOT NULL] AS r FROM x_vector WHERE ts <= {CLOSED})""")
+def stream_score_model(t):
+    """The second of two published models scores the stream; its scores and decisions next to those of the batch."""
+    rows = training_rows(t)
+    models_at, path = scratch(t.spark, "models"), scratch(t.spark, "scored")
+    T.publish(T.train(rows, L.LIVE, params={**SMALL, "maxIter": 1}), models_at)
+    model = T.train(rows, L.LIVE, params=SMALL)
+    T.publish(model, models_at)
+    with K.state_store(t.spark):
+        J.run_each_batch(L.live_features(payments(t), RULES), "score-model", L.score_batches(models_at, f"{path}/rows"), path)
+    streamed = t.spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows")
+    batch = N.decide(T.score(model, rows, L.LIVE, ["payment_id"]).withColumn("batch_score", F.col("fraud_score"))).select(
+        "payment_id", "batch_score", F.col("decision").alias("batch_decision"))
+    return streamed.join(batch, "payment_id", "left").select(
+        "payment_id", F.array_join("reasons", "; ").alias("reasons"), (F.abs(F.col("exact_score") - F.col("batch_score")) < 1e-9).alias("same_score"),
+        (F.col("decision") == F.col("batch_decision")).alias("same_decision"), "model_version")
