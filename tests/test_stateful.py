@@ -173,5 +173,5 @@ def test_a_new_model_is_used_from_the_next_batch_on(spark, tables):
     by = {r.model_version: r.n for r in got.groupBy("model_version").agg(F.count("*").alias("n")).collect()}
     assert set(by) <= {1, 2} and by[2] > 200
     late = got.filter("model_version = 2")
-    same = late.join(models.score(two, training, L.LIVE, ["payment_id"]).withColumnRenamed("fraud_score", "batch"), "payment_id")
-    assert same.filter(F.abs(F.col("exact_score") - F.col("batch")) > 1e-9).count() == 0 and same.count() == by[2]
+    same = late.join(models.score(two, training, L.LIVE, ["payment_id"]).withColumnRenamed("fraud_score", "batch_score"), "payment_id")
+    assert same.filter(F.abs(F.col("exact_score") - F.col("batch_score")) > 1e-9).count() == 0 and same.count() == by[2]
