@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,12 +60,38 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark then removes the shuffle files of an action at its end, not when the driver happens to collect its garbage.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Actions inside leave no shuffle files behind."""
+    before = spark.conf.get(_TIDY, None)
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_TIDY) if before is None else spark.conf.set(_TIDY, before)
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage of a frame that is used several times; the written files
-    survive the loss of executors.
+    survive the loss of executors. ``discard`` removes them.
     """
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with tidy(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.work_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``materialise`` wrote for ``tables``. Nothing may still read them, also not a frame that is yet to be evaluated."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        place = jvm.org.apache.hadoop.fs.Path(table.work_path)
+        place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
