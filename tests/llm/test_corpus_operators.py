@@ -302,12 +302,22 @@ def test_spread_lines(spark, awkward, nothing):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     out = {r.doc_id: r for r in line_dedup.remove_spread_lines(docs, min_sites=6).collect()}
     assert out[0].text == "own words of page 0 which are many\n\nend 0" and (out[0].n_lines, out[0].n_removed) == (3, 1)
-    assert out[10].text == foot and out[10].spared and out[20].n_removed == 0
-    odd = line_dedup.remove_spread_lines(awkward, min_sites=1, max_share=0.1)
+    assert out[10].text == "" and out[20].n_removed == 0
+    odd = line_dedup.remove_spread_lines(awkward, min_sites=1)
     assert odd.count() == awkward.count() and line_dedup.remove_spread_lines(nothing).count() == 0
     assert {r.doc_id: r.text for r in odd.collect()}[2] is None
 
 
+def test_a_passage_that_outweighs_the_page_goes_and_copies_stay(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    pages = [(i, f"{passage}\n" + " ".join(f"own{i}x{j}" for j in range(25)), f"site{i}") for i in range(12)]
+    copies = [(100 + i, "a page\nwith three lines\nof its own", f"site{i}") for i in range(12)]
+    docs = spark.createDataFrame(pages + copies, "doc_id bigint, text string, source string")
+    out = {r.doc_id: r for r in line_dedup.remove_spread_lines(docs, min_sites=10).collect()}
+    assert all(out[i].n_removed == 1 and passage not in out[i].text for i in range(12))
+    assert all(out[100 + i].text == copies[0][1] for i in range(12))
+
+
 # Pseudonyms
 
 

@@ -27,16 +27,18 @@ def test_stages(spark):
     assert sum(k in after for k in good) >= 0.95 * len(good) and all(before[k] == r for k, r in after.items())
 
     before, after = kept["lines"]
-    sites = defaultdict(set)
+    bare = lambda text: [x.strip(" \t\r\x0b\x0c") for x in text.split("\n")]
+    pages, sites = {}, defaultdict(set)
     for r in before.values():
-        for line in r["text"].split("\n"):
-            sites[line.strip(" \t\r\x0b\x0c")].add(r["source"])
+        page = frozenset(bare(r["text"])) - {""}
+        pages[page] = min(pages.get(page, r["source"]), r["source"])
+    for page, site in pages.items():
+        for line in page:
+            sites[line].add(site)
     assert before.keys() == after.keys()
     for k, r in before.items():
-        lines = r["text"].split("\n")
-        left = [x for x in lines if not x.strip(" \t\r\x0b\x0c") or len(sites[x.strip(" \t\r\x0b\x0c")]) < P.MIN_SITES]
-        size = lambda xs: sum(len(x.strip(" \t\r\x0b\x0c")) for x in xs)
-        assert after[k]["text"] == ("\n".join(left) if size(left) >= 0.5 * size(lines) else r["text"])
+        left = [x for x, t in zip(r["text"].split("\n"), bare(r["text"]), strict=True) if len(sites[t]) < P.MIN_SITES]
+        assert after[k]["text"] == "\n".join(left)
 
     before, after = kept["near_duplicates"]
     groups = brute_groups({k: r["text"] for k, r in before.items()}, P.SHINGLE_WORDS)
