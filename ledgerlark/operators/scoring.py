@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import expr as X
 from ledgerlark.operators.features import DISPOSABLE_DOMAINS
+from ledgerlark.operators.ranking import exact_percentiles, in_ranges
 
 # (threshold, risk level, decision) from the highest down; the last entry is the default.
 LADDER = ((0.95, "critical", "decline"), (0.70, "high", "review"), (0.40, "medium", "monitor"), (0.0, "low", "approve"))
@@ -128,23 +129,23 @@ def confusion(scores: DataFrame, threshold: float, keys: Sequence[str] = ()) ->
     return _with_rates(scores.groupBy(*keys).agg(*_outcomes(threshold)))
 
 
-def evaluate(scores: DataFrame, threshold: float, keys: Sequence[str] = (), ranges: int = 1024) -> DataFrame:
-    """``confusion`` and ``auc_roc`` from one pass over the scores (0 to 1). Both are exact.
+def evaluate(scores: DataFrame, threshold: float, keys: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``confusion`` and ``auc_roc`` from one pass over the scores. Both are exact.
 
-    Outcomes are counted per score first. Scores are ranked for the area inside ``ranges`` equal parts of
-    0 to 1, and each part is shifted by the outcomes of the parts below, so no window holds all scores.
+    Outcomes are counted per score first. For the area scores are dealt to ranges that hold about equally many of them, ranked inside,
+    and each range is shifted by the outcomes of those below; so scores that crowd in a small part of 0 to 1 still spread over tasks.
     """
-    per_score = scores.groupBy(*keys, F.col("fraud_score").alias("_s")).agg(*_outcomes(threshold)).withColumn(
-        "_r", F.floor(F.col("_s") * ranges))
+    counted = scores.groupBy(*keys, F.col("fraud_score").alias("_s")).agg(*_outcomes(threshold))
+    per_score = in_ranges(counted, *keys, "_s", ranges=ranges)
     p, n = F.col("true_positives") + F.col("false_negatives"), F.col("false_positives") + F.col("true_negatives")
     earlier = (Window.unboundedPreceding, -1)
-    lower = Window.partitionBy(*keys).orderBy("_r").rowsBetween(*earlier)  # at most ``ranges`` rows
-    offsets = per_score.groupBy(*keys, "_r").agg(F.sum(n).alias("_n")).withColumn(
+    lower = Window.partitionBy(*keys).orderBy("_part").rowsBetween(*earlier)  # one row per range
+    offsets = per_score.groupBy(*keys, "_part").agg(F.sum(n).alias("_n")).withColumn(
         "_offset", F.coalesce(F.sum("_n").over(lower), F.lit(0))).drop("_n")
-    inside = Window.partitionBy(*keys, "_r").orderBy("_s").rowsBetween(*earlier)
+    inside = Window.partitionBy(*keys, "_part").orderBy("_s").rowsBetween(*earlier)
     won = p * (F.col("_offset") + F.coalesce(F.sum(n).over(inside), F.lit(0)) + n / 2)
     counts = ("true_positives", "false_positives", "false_negatives", "true_negatives")
-    summed = per_score.join(offsets, [*keys, "_r"]).withColumn("_won", won).groupBy(*keys).agg(
+    summed = per_score.join(offsets, [*keys, "_part"]).withColumn("_won", won).groupBy(*keys).agg(
         X.ratio(F.sum("_won"), F.sum(p) * F.sum(n)).alias("auc_roc"), *[F.sum(c).alias(c) for c in counts])
     return _with_rates(summed)
 
@@ -238,9 +239,10 @@ def monitor(scores: DataFrame, threshold: float = 0.7, drop_pct: float = 5) -> D
 
 def latency_percentiles(logs: DataFrame, keys: Sequence[str], latency: str, points: Mapping[str, float] | None = None,
                         exact: bool = True) -> DataFrame:
-    """P50, P95 and P99. ``exact`` keeps a count per distinct latency; otherwise a bounded sketch is used."""
+    """P50, P95 and P99. ``exact`` counts inside the bounds of a sketch; otherwise a sketch alone is used."""
     points = points or {"p50": 0.5, "p95": 0.95, "p99": 0.99}
-    fn = F.percentile if exact else F.percentile_approx
-    values = fn(F.col(latency), F.array(*[F.lit(p) for p in points.values()]))
-    return logs.groupBy(*keys).agg(F.count("*").alias("requests"), values.alias("_p")).select(
+    if exact:
+        return exact_percentiles(logs, keys, latency, points).withColumnRenamed("n", "requests")
+    values = F.percentile_approx(F.col(latency), F.array(*[F.lit(p) for p in points.values()]))
+    return logs.groupBy(*keys).agg(F.count(latency).alias("requests"), values.alias("_p")).select(
         *keys, "requests", *[F.col("_p")[i].alias(name) for i, name in enumerate(points)])

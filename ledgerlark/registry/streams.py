@@ -57,7 +57,7 @@ def api_performance_fact(t):
 
 @query("stream_api_perf_5m", PERF_COLUMNS, f"SELECT * FROM ({PERF}) WHERE window_end <= {CLOSED}")
 def stream_api_perf(t):
-    return J.run_available(J.api_performance(logs(t)), "api-perf")
+    return J.with_exact_p99(J.run_available(J.api_performance_sketched(logs(t)), "api-perf"), t.api_logs())
 
 
 def bucketed(width: str) -> str:

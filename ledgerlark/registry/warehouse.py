@@ -142,7 +142,7 @@ def surrogate_key_lookup(t):
             AS customer_key FROM customer""")
 def surrogate_key_gen(t):
     last = t.raw("supplier").agg(F.max("s_suppkey").alias("k")).scalar()
-    return dense_keys(t.customers(), "customer_id", "customer_key", last, per_range=100)
+    return dense_keys(t.customers(), "customer_id", "customer_key", last, ranges=5)
 
 
 RATES = [(c, y, f"{base + step * (y - 1995):.4f}") for c, base, step in (("EUR", 1.05, 0.02), ("GBP", 1.52, 0.03))

@@ -6,14 +6,16 @@ window closes. Aggregations combine map-side before they reach the state store.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import StructType
 
 from ledgerlark.functions import expr as X
-from ledgerlark.operators.ranking import latest_per_key
+from ledgerlark.operators.ranking import latest_per_key, percentiles_within, value_sketch
 from ledgerlark.operators.warehouse import log_order
 from ledgerlark.session import materialise, scratch
 from ledgerlark.sources.tables import write_partitions
@@ -38,10 +40,40 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, schema: StructTy
     return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("_m")).select("_m.*")
 
 
-def late_rows(query) -> list[dict]:
-    """Rows that the watermark dropped, per stateful operator of the last batches a query still reports."""
-    return [{"batch_id": p["batchId"], "operator": i, "dropped": s["numRowsDroppedByWatermark"]}
-            for p in query.recentProgress for i, s in enumerate(p["stateOperators"])]
+class LateRows(StreamingQueryListener):
+    """Writes how many rows the watermark dropped, one row per batch and stateful operator, for all batches of the queries it hears of.
+
+    Add it with ``spark.streams.addListener`` before the query starts; ``late_rows`` reads what it wrote. A batch that is done again
+    replaces its row.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self._ended = spark, path, threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        self._ended.clear()
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        counts = [(i, s.numRowsDroppedByWatermark) for i, s in enumerate(p.stateOperators)]
+        if counts:
+            self.spark.createDataFrame(counts, "operator int, dropped bigint").coalesce(1).write.mode("overwrite").option(
+                "partitionOverwriteMode", "static").parquet(f"{self.path}/query={p.id}/batch={p.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.set()
+
+    def wait(self, seconds: float = 60) -> bool:
+        """Until the last query that ended has been heard to the end."""
+        return self._ended.wait(seconds)
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """(query, batch, operator, dropped) of every batch that a ``LateRows`` listener wrote."""
+    return spark.read.schema("operator int, dropped bigint, query string, batch bigint").parquet(path)
 
 
 def watermarked(df: DataFrame, ts: str = "ts", delay: str = WATERMARK) -> DataFrame:
@@ -90,6 +122,25 @@ def api_performance(logs: DataFrame, width: str = "5 minutes") -> DataFrame:
     )
 
 
+def api_performance_sketched(logs: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """``api_performance`` with a sketch of the latencies in place of their percentile: the state of a window is a few kilobytes."""
+    return (
+        logs.groupBy(F.window("ts", width), "merchant_id", "endpoint")
+        .agg(F.count("*").alias("request_count"), X.mean("latency_ms").alias("avg_latency"),
+             F.count_if(F.col("status_code") >= 500).alias("error_count"), value_sketch("latency_ms").alias("latency_sketch"))
+        .select(F.col("window.end").alias("window_end"), "merchant_id", "endpoint", "request_count", "avg_latency", "error_count",
+                "latency_sketch")
+    )
+
+
+def with_exact_p99(performance: DataFrame, logs: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """Closed windows with their exact P99, counted in the stored ``logs`` between the bounds of each window's sketch."""
+    keys = ["window_end", "merchant_id", "endpoint"]
+    timed = logs.withColumn("window_end", F.window("ts", width)["end"])
+    p99 = percentiles_within(timed, performance, keys, "latency_ms", "latency_sketch", {"p99_latency": 0.99})
+    return performance.drop("latency_sketch").join(p99, keys, "left")
+
+
 def _error_windows(logs: DataFrame, width: str, threshold: float) -> DataFrame:
     return (
         logs.groupBy(F.window("ts", width), "merchant_id")

@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import random
 
+import math
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlark.operators import ranking as R
 
@@ -22,14 +26,47 @@ def test_ranked_single_row(spark):
     assert R.ranked(spark.createDataFrame([(1,)], "v bigint"), "v").first()["percent_rank"] == 0.0
 
 
-@pytest.mark.parametrize("per_range", [1, 2, 1000])
+@pytest.mark.parametrize("ranges", [1, 3, 8, None])
 @pytest.mark.parametrize("ids", [[7, 2, 900, 12, 5, 13], [hash((i, 7)) for i in range(50)]])
-def test_dense_keys(spark, per_range, ids):
+def test_dense_keys(spark, ranges, ids):
     df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    got = {r["id"]: r["k"] for r in R.dense_keys(df, "id", "k", 100, per_range=per_range).collect()}
+    got = {r["id"]: r["k"] for r in R.dense_keys(df, "id", "k", 100, ranges=ranges).collect()}
     assert got == {i: 101 + n for n, i in enumerate(sorted(ids))}
 
 
+def test_dense_keys_compare_no_row_with_a_list(spark):
+    df = spark.range(2000).select(F.xxhash64("id").alias("id"))
+    keyed = R.dense_keys(df, "id", "k", ranges=7)
+    plan = keyed._jdf.queryExecution().toString()
+    assert "filter(array" not in plan.lower() and keyed.select("k").distinct().count() == 2000
+    parts = R.in_ranges(df, "id", ranges=7).groupBy("_part").count().collect()
+    assert len(parts) == 7 and max(r["count"] for r in parts) < 2000 / 3
+
+
+def percentile(values, p):
+    values, at = sorted(values), p * (len(values) - 1)
+    low, high = values[math.floor(at)], values[math.ceil(at)]
+    return low + (at - math.floor(at)) * (high - low)
+
+
+POINTS = {"least": 0.0, "p50": 0.5, "p99": 0.99, "most": 1.0}
+
+
+@pytest.mark.parametrize("margin", [0.01, -0.2])
+def test_exact_percentiles(spark, monkeypatch, margin):
+    """Also where the bounds miss the value; with a key of most rows, ties, one value, nulls and a null key."""
+    monkeypatch.setattr(R, "MARGIN", margin)
+    rnd = random.Random(1)
+    groups = {"hot": [rnd.randrange(10**9) for _ in range(20_000)], "ties": [5] * 300 + [7] * 4, "one": [3], None: [1, 2], "none": []}
+    rows = [(k, v) for k, vs in groups.items() for v in [*vs, None]]
+    got = R.exact_percentiles(spark.createDataFrame(rows, "k string, v bigint").repartition(4), ["k"], "v", POINTS)
+    for r in got.collect():
+        vs = groups[r.k]
+        assert r.n == len(vs)
+        assert [r[p] for p in POINTS] == ([pytest.approx(percentile(vs, p)) for p in POINTS.values()] if vs else [None] * 4), r.k
+    assert got.count() == len(groups)
+
+
 def test_pages_cover_everything_once(spark):
     df = spark.createDataFrame([(i,) for i in (9, 4, 7, 1, 3)], "id bigint")
     last, seen = None, []

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from ledgerlark.operators import models as T
 from ledgerlark.operators import scoring as N
+from ledgerlark.operators.ranking import in_ranges
 
 
 def test_ladder_boundaries_use_the_exact_score(spark):
@@ -95,3 +96,19 @@ def test_many_disputes_need_one_instant_a_customer(spark):
     out = asked.join(known, "customer_id", "left").withColumn("score", N.rule_score())
     got = rows(out.selectExpr("customer_id", "minute(ts)", "score > 0.4"), "customer_id", "ts")
     assert [g[2] for g in got] == [False, True, False, False, True, False]
+
+
+def test_crowded_scores_spread_over_ranges(spark):
+    """98 % of the scores below 0.02: same area, no range with most of the scores."""
+    rnd = random.Random(2)
+    data = [(rnd.random() * (0.02 if rnd.random() < 0.98 else 1), int(rnd.random() < 0.1)) for _ in range(4000)]
+    df = spark.createDataFrame(data, "fraud_score double, is_fraud int")
+    area = N.evaluate(df, 0.5, ranges=8).first()["auc_roc"]
+    pairs = sorted(data)
+    good, won = 0, 0.0
+    for s, y in pairs:
+        won += good if y else 0
+        good += 1 - y
+    assert area == pytest.approx(won / (good * (len(data) - good)))
+    sizes = [r["count"] for r in in_ranges(df, "fraud_score", ranges=8).groupBy("_part").count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 1200

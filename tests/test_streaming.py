@@ -40,6 +40,35 @@ def test_late_rows_are_dropped(spark):
     assert [(r[0].minute, r[3]) for r in got] == [(5, 1), (15, 2)]
 
 
+def test_late_rows_of_every_batch_are_counted(spark):
+    """More batches than a query keeps progress of."""
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    batches = [[log(10_000)]] + [[log(i), log(20_000)] for i in range(12)]
+    heard, path = scratch(spark, "late"), scratch(spark, "late-out")
+    listener = J.LateRows(spark, heard)
+    spark.streams.addListener(listener)
+    try:
+        J.run_available(J.api_performance(J.watermarked(feed(spark, LOGS, *batches))), "late-rows", path)
+        assert listener.wait()
+    finally:
+        spark.streams.removeListener(listener)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    got = J.late_rows(spark, heard)
+    # Spark judges a batch by the watermark of the batch before it, so the first old row still counts.
+    assert got.select("batch").distinct().count() >= 13 and got.agg(F.sum("dropped")).first()[0] == 11
+
+
+def test_sketched_windows_have_the_exact_percentile(spark):
+    batch = [log(s, latency=(s * 7919) % 1009) for s in range(0, 1500, 3)]
+    stream = J.watermarked(feed(spark, LOGS, batch[:300], batch[300:]))
+    plan = J.api_performance_sketched(stream)
+    got = J.with_exact_p99(J.run_available(plan, "sketched"), spark.createDataFrame(batch, LOGS))
+    columns = ["window_end", "merchant_id", "endpoint", "request_count", "avg_latency", "p99_latency", "error_count"]
+    newest = batch[-1][0] - dt.timedelta(seconds=30)
+    want = [r for r in rows(J.api_performance(spark.createDataFrame(batch, LOGS)).select(columns), "window_end") if r[0] <= newest]
+    assert rows(got.select(columns), "window_end") == want and len(got.columns) == 7
+
+
 def test_alert_needs_neighbouring_windows(spark):
     bad = [log(5, 500), log(65, 500), log(185, 500), log(305, 500), log(365, 500), log(900)]
     stream = J.watermarked(feed(spark, LOGS, bad))
