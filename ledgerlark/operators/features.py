@@ -80,6 +80,11 @@ def _dispute_steps(payments: DataFrame, disputes: DataFrame, key: str) -> DataFr
         step -> step IS NOT NULL))""")
 
 
+def _position(payments: DataFrame) -> list[str]:
+    """The columns of a payment's place, where its address was located."""
+    return [c for c in ("latitude", "longitude") if c in payments.columns]
+
+
 def customer_state(payments: DataFrame, disputes: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Payments with the customer's raw counters just before them, in columns ``s_*``.
 
@@ -90,7 +95,7 @@ def customer_state(payments: DataFrame, disputes: DataFrame, hot_rows: int | Non
         hot_rows = None
     p = payments.withColumns({
         "_t": micros("ts"), "_good": F.col("status") == "SUCCEEDED", "_hour": F.hour("ts"),
-        "_seen": F.struct(micros("ts").alias("us"), "payment_id", F.col("ip_country").alias("country")),
+        "_seen": F.struct(micros("ts").alias("us"), "payment_id", F.col("ip_country").alias("country"), *_position(payments)),
     })
     stream = with_expiries(p, "_t", [HOUR, DAY, WEEK, MONTH], ["customer_id", "amount_minor", "_good"],
                            ["payment_id", "_hour", "_seen"])
@@ -159,10 +164,13 @@ def amounts(s: dict[str, Column], rules: Rules) -> dict[str, Column]:
     }
 
 
-def geography(s: dict[str, Column], rules: Rules) -> dict[str, Column]:
+def geography(s: dict[str, Column], rules: Rules, located: bool = False) -> dict[str, Column]:
+    """Distances are between the places of the addresses where payments are ``located``, else between the countries' ``places``."""
     here, before = F.col("ip_country"), s["last"]["country"]
     hours = (F.col("_us") - s["last"]["us"]) / F.lit(HOUR * 1_000_000.0)
-    if rules.places:
+    if located:
+        km = F.coalesce(X.haversine_km(s["last"]["latitude"], s["last"]["longitude"], "latitude", "longitude"), F.lit(0.0))
+    elif rules.places:
         entries = [F.lit(v) for c in sorted(rules.places) for v in (c,)]
         lat = F.map_from_arrays(F.array(*entries), F.array(*[F.lit(float(rules.places[c][0])) for c in sorted(rules.places)]))
         lon = F.map_from_arrays(F.array(*entries), F.array(*[F.lit(float(rules.places[c][1])) for c in sorted(rules.places)]))
@@ -283,8 +291,8 @@ def feature_vector(payments, disputes, customers, merchants, rules: Rules = Rule
         .join(first_device_use(payments), ["customer_id", "device_fingerprint"], "left")
     )
     s = _state_columns(base)
-    found = {**velocity(s), **amounts(s, rules), **geography(s, rules), **device_and_email(rules), **customer_history(s),
-             **context(rules)}
+    found = {**velocity(s), **amounts(s, rules), **geography(s, rules, len(_position(payments)) == 2), **device_and_email(rules),
+             **customer_history(s), **context(rules)}
     keys = ["payment_id", "customer_id", "merchant_id", "ts", "amount_minor"]
     avg, std = _mean_and_spread(s, "30d")
     return wide.select(
@@ -311,7 +319,7 @@ def group(name: str, payments, disputes, customers, merchants, rules: Rules = Ru
         base, found = base.join(highest_amount(payments), "payment_id", "left"), amounts(s, rules)
         base = base.join(amount_rank(payments, hot_rows), "payment_id", "left")
     elif name == "geo":
-        found = geography(s, rules)
+        found = geography(s, rules, len(_position(payments)) == 2)
     elif name == "customer":
         base = base.join(customers.select("customer_id", F.col("created_at").alias("customer_since")), "customer_id", "left")
         found = customer_history(s)

@@ -6,6 +6,9 @@ when given, a pushed-down predicate.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -180,19 +183,32 @@ def delivery_time(webhooks, as_of, hours: int = 24, merchant_id=None) -> DataFra
 
 
 # -- across collections -----------------------------------------------------------------------
-def payment_mentions(logs: DataFrame, pattern: str = r"\bpi_[A-Za-z0-9]+\b") -> DataFrame:
-    """One row per log and payment id named in its body."""
-    ids = F.array_distinct(F.regexp_extract_all("request_body", F.lit(pattern), F.lit(0)))
-    return logs.withColumn("payment_ref", F.explode(ids))
+def id_shapes(ids: DataFrame, column: str) -> tuple[str, list[int]]:
+    """What all ids of a column begin with, and their lengths: a handful of numbers, whatever the number of ids."""
+    r = ids.agg(F.min(column).alias("a"), F.max(column).alias("b"), F.sort_array(F.collect_set(F.length(column))).alias("n")).first()
+    return os.path.commonprefix([r["a"] or "", r["b"] or ""]), r["n"]
+
+
+def payment_mentions(logs: DataFrame, prefix: str, lengths: Sequence[int]) -> DataFrame:
+    """One row per log and text that could be a payment id in its body: every place where ``prefix`` stands, at every length ids have.
+
+    An equality join with the ids then finds what a substring search for each id finds, also inside longer words.
+    """
+    longest = max(lengths, default=0)
+    tails = F.regexp_extract_all("request_body", F.lit(f"(?s)(?=(\\Q{prefix}\\E.{{0,{max(longest - len(prefix), 0)}}}))"), F.lit(1))
+    cut = F.transform(tails, lambda t: F.filter(F.array(*[F.left(t, F.lit(n)) for n in lengths]).cast("array<string>"),
+                                                lambda x: x != ""))
+    whole = F.filter(F.array_distinct(F.flatten(cut)), lambda x: F.length(x).isin(list(lengths)))
+    return logs.withColumn("payment_ref", F.explode(whole))
 
 
 def audit_trail(payments, logs, seconds: int = 60) -> DataFrame:
-    """Logs of the payment's merchant within ``seconds`` of it that name the payment.
+    """Logs of the payment's merchant within ``seconds`` of it whose body contains the payment's id.
 
-    The id is taken out of the body, so the two sides meet on (merchant, payment) instead of
+    Candidates for ids are taken out of the body, so the two sides meet on (merchant, payment) instead of
     pairing every log of a merchant with every payment.
     """
-    said = payment_mentions(logs).select("merchant_id", "payment_ref", "log_id", F.col("ts").alias("logged_at"), "endpoint",
-                                         "status_code", "latency_ms")
+    said = payment_mentions(logs, *id_shapes(payments, "payment_ref")).select(
+        "merchant_id", "payment_ref", "log_id", F.col("ts").alias("logged_at"), "endpoint", "status_code", "latency_ms")
     apart = F.abs(F.unix_micros("logged_at") - F.unix_micros("paid_at"))
     return payments.join(said, ["merchant_id", "payment_ref"]).filter(apart <= seconds * 1_000_000)

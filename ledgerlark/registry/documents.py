@@ -176,6 +176,6 @@ def payment_refs(t):
             l.latency_ms
           FROM x_payments p JOIN x_logs l ON l.merchant_id = p.customer_id
             AND l.ts BETWEEN p.ts - INTERVAL 60 SECOND AND p.ts + INTERVAL 60 SECOND
-            AND contains(l.request_body, '"pi_' || p.payment_id || '"')""")
+            AND contains(l.request_body, 'pi_' || p.payment_id)""")
 def audit_trail(t):
     return D.audit_trail(payment_refs(t), t.api_logs())

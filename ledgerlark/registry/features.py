@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlark.operators import addresses as A
 from ledgerlark.operators import features as M
 from ledgerlark.operators import scoring as N
 from ledgerlark.operators.ranking import latest_per_key
@@ -201,3 +202,41 @@ def feature_store_upsert(t):
             PARTITION BY customer_id ORDER BY ts))) / 1000000) AS BIGINT) AS time_since_last_seconds FROM x_payments""")
 def time_since_last(t):
     return M.time_since_last(t.payments(), hot_rows=0)
+
+
+# -- places of addresses ----------------------------------------------------------------------
+ADDRESS = """CASE payment_id % 3 WHEN 0 THEN concat('2001:db8:', lower(hex(payment_id % 30)), ':', lower(hex(payment_id % 65536)), '::7')
+  ELSE concat('10.', payment_id % 30, '.', payment_id % 256, '.7') END"""
+
+
+def addressed(t):
+    return t.payments().withColumn("ip_address", F.expr(ADDRESS))
+
+
+def networks(t):
+    """A network per nation in each family, and one of a city inside the first of every other nation."""
+    return t.raw("nation").selectExpr("n_name AS country", "n_nationkey AS k").selectExpr("country", """inline(filter(array(
+        named_struct('network', concat('10.', k, '.0.0/16'), 'latitude', k * 1D, 'longitude', k * 2D),
+        named_struct('network', concat('2001:db8:', lower(hex(k)), '::/48'), 'latitude', k * 1D, 'longitude', k * 2D),
+        CASE WHEN k % 2 = 0 THEN named_struct('network', concat('10.', k, '.64.0/18'), 'latitude', k + 0.5D, 'longitude', k * 2D) END),
+        x -> x IS NOT NULL))""")
+
+
+part("x_located", """SELECT p.*, n_name AS country, CAST(n_nationkey AS DOUBLE) + CASE WHEN p.payment_id % 3 <> 0 AND n_nationkey % 2 = 0
+    AND p.payment_id % 256 BETWEEN 64 AND 127 THEN 0.5 ELSE 0 END AS latitude, CAST(n_nationkey * 2 AS DOUBLE) AS longitude
+  FROM x_payments p LEFT JOIN nation ON n_nationkey = p.payment_id % 30""")
+
+
+@query("locate", "payment_id:i country:s latitude:d longitude:d", "SELECT * FROM x_located")
+def locate(t):
+    return A.locate_networks(addressed(t), networks(t), ["country", "latitude", "longitude"])
+
+
+@query("feat_geo_located", "payment_id:i distance_km:r",
+       """SELECT payment_id, coalesce(6371 * 2 * atan2(sqrt(h), sqrt(1 - h)), 0) AS distance_km FROM (
+            SELECT payment_id, sin(radians(latitude - la) / 2) ** 2 + cos(radians(la)) * cos(radians(latitude)) * sin(radians(longitude - lo) / 2) ** 2 AS h
+            FROM (SELECT *, lag(latitude) OVER w AS la, lag(longitude) OVER w AS lo FROM x_located WINDOW w AS (PARTITION BY customer_id ORDER BY ts)))""")
+def feat_geo_located(t):
+    """Kilometres from the place of the customer's payment before, by addresses."""
+    placed = A.locate_networks(addressed(t), networks(t), ["latitude", "longitude"])
+    return M.group("geo", placed, t.disputes(), t.customers(), t.merchants(), RULES)

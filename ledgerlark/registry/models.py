@@ -224,3 +224,23 @@ def feature_importance(t):
 def tune(t):
     space = {**{k: (v,) for k, v in SMALL.items()}, "maxIter": (2, 4), "maxDepth": (2, 3, 4)}
     return T.tune(training_rows(t), M.FEATURES, trials=3, space=space)
+
+
+# -- what can be told of fitted models in SQL ------------------------------------------------------
+@query("model_facts", "scored:i scores_between_0_and_1:i trees_allowed:b features:i importance_sum:r sorted_by_importance:b trials:i sorted_by_area:b "
+       "same_twice:b",
+       """SELECT count(*) AS scored, count(*) AS scores_between_0_and_1, TRUE AS trees_allowed, 45 AS features, 1.0 AS importance_sum,
+            TRUE AS sorted_by_importance, 3 AS trials, TRUE AS sorted_by_area, TRUE AS same_twice FROM x_payments""")
+def model_facts(t):
+    """Counts, sums and orders of one fit, its scores and importances, and a search; the same candidate twice has one area."""
+    rows = training_rows(t)
+    model = T.train(rows, M.FEATURES, params=SMALL)
+    scores = T.score(model, rows, M.FEATURES, ["payment_id"]).agg(
+        F.count("*").alias("scored"), F.count_if(F.col("fraud_score").between(0, 1)).alias("scores_between_0_and_1"))
+    weights = [r["importance"] for r in T.importances(model, rows, M.FEATURES).collect()]  # one per feature
+    space = {**{k: (v,) for k, v in SMALL.items()}, "maxIter": (2,), "maxDepth": (2, 3)}
+    found = [(r["params"], r["auc_roc"]) for r in T.tune(rows, M.FEATURES, trials=3, space=space).collect()]  # one per trial
+    facts = {"trees_allowed": 1 <= model.stages[-1].getNumTrees <= SMALL["maxIter"], "features": len(weights), "importance_sum": float(sum(weights)), "trials": len(found),
+             "sorted_by_importance": weights == sorted(weights, reverse=True), "same_twice": len(set(found)) == len({p for p, _ in found}),
+             "sorted_by_area": [a for _, a in found] == sorted((a for _, a in found), reverse=True)}
+    return scores.withColumns({k: F.lit(v) for k, v in facts.items()})

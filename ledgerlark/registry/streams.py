@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlark.operators import features as M
 from ledgerlark.operators import models as T
 from ledgerlark.operators import scoring as N
-from ledgerlark.plans.documents import payment_mentions
+from ledgerlark.plans.documents import id_shapes, payment_mentions
 from ledgerlark.registry import documents as D
 from ledgerlark.registry import query
 from ledgerlark.registry.features import RULES, back
@@ -160,11 +160,12 @@ def stream_cdc_apply(t):
        """SELECT p.payment_id, l.merchant_id, p.ts AS paid_at, l.log_id, l.ts AS logged_at, l.status_code
           FROM x_payments p JOIN x_logs l ON l.merchant_id = p.customer_id
             AND l.ts BETWEEN p.ts - INTERVAL 60 SECOND AND p.ts + INTERVAL 60 SECOND
-            AND contains(l.request_body, '"pi_' || p.payment_id || '"')""")
+            AND contains(l.request_body, 'pi_' || p.payment_id)""")
 def stream_join_payment_logs(t):
     paid = payments(t).select("payment_id", F.concat(F.lit("pi_"), "payment_id").alias("payment_ref"),
                               F.col("customer_id").alias("merchant_id"), F.col("ts").alias("paid_at"))
-    said = payment_mentions(logs(t)).select("merchant_id", "payment_ref", "log_id", F.col("ts").alias("logged_at"), "status_code")
+    shapes = id_shapes(D.payment_refs(t), "payment_ref")
+    said = payment_mentions(logs(t), *shapes).select("merchant_id", "payment_ref", "log_id", F.col("ts").alias("logged_at"), "status_code")
     return J.run_available(J.joined_logs(paid, said), "payment-logs")
 
 

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import ipaddress
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from ledgerlark.operators import addresses as A
 from ledgerlark.operators import features as M
 from ledgerlark.registry.features import RULES
 
@@ -102,3 +105,40 @@ def test_addresses_that_are_none(spark):
     asked = spark.createDataFrame([("1.0.3.4",), ("::1",), ("1.0.0",), ("1.0.0.256",), ("1.0.x.1",), ("",), (None,), ("1.0.0.0.1",)], "ip_address string")
     assert [r["country"] for r in M.locate(asked, ranges).filter("country IS NOT NULL").collect()] == ["AU"]
     assert M.locate(asked, ranges).count() == 8
+
+
+def test_longest_network_wins(spark):
+    """Against the standard library's reading of addresses."""
+    rnd = random.Random(6)
+    nets = ["10.0.0.0/8", "10.1.0.0/16", "10.1.2.0/23", "10.1.2.128/25", "10.1.2.129/32", "0.0.0.0/1", "2001:db8::/32", "2001:db8:5::/48",
+            "2001:db8:5:8000::/49", "2001:db8:5::1/128", "::/5"]
+    asked = ["::ffff:10.1.2.129", "2001:DB8:5::1", "2001:db8:5:8001::9", " 10.1.3.255 ", "1::2::3", "10.1.2", "10.1.2.300", "g::1", "", None,
+             "1:2:3:4:5:6:7", "1:2:3:4:5:6:7::", "::", "::1", "12345::", "200.1.1.1", "1:2:3:4:5:6:1.2.3.4", "1:2:3:4:5:6:7:8:9"]
+    asked += [f"10.{rnd.choice([0, 1])}.{rnd.randint(0, 4)}.{rnd.randint(120, 135)}" for _ in range(60)]
+    networks = spark.createDataFrame([(n, f"c{i}", float(i)) for i, n in enumerate(nets)], "network string, country string, lat double")
+    got = A.locate_networks(spark.createDataFrame([(x,) for x in asked], "ip_address string"), networks, ["country", "lat"])
+
+    def place(text):
+        try:
+            address = ipaddress.ip_address((text or "").strip())
+        except ValueError:
+            return None
+        whole = int(address) if address.version == 6 else (0xFFFF << 32) + int(address)
+        fits = []
+        for i, n in enumerate(nets):
+            net = ipaddress.ip_network(n, strict=False)
+            base, bits = (int(net[0]), net.prefixlen) if net.version == 6 else ((0xFFFF << 32) + int(net[0]), net.prefixlen + 96)
+            if whole >> (128 - bits) == base >> (128 - bits):
+                fits.append((bits, f"c{i}"))
+        return max(fits, default=(0, None))[1]
+
+    assert sorted((str(r.ip_address), r.country) for r in got.collect()) == sorted((str(x), place(x)) for x in asked)
+
+
+def test_two_cities_of_one_country_are_apart(spark):
+    p = payments(spark, {"ts": at(1, 10)}, {"ts": at(1, 12)})
+    placed = p.withColumn("latitude", F.when(F.col("payment_id") == 1, 48.86).otherwise(43.3)).withColumn(
+        "longitude", F.when(F.col("payment_id") == 1, 2.35).otherwise(5.37))
+    no_disputes = spark.createDataFrame([], "payment_id bigint, opened_at timestamp")
+    v = {r.payment_id: r for r in M.group("geo", placed, no_disputes, None, None).collect()}
+    assert v[1].distance_km == 0 and 650 < v[2].distance_km < 670 and 325 < v[2].velocity_km_per_hour < 335

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -137,9 +139,17 @@ def test_multi_line_documents_with_missing_fields(spark, tmp_path):
     assert df.select(F.variant_get(F.col("events")[0]["details"], "$.a", "int")).first()[0] == 1
 
 
-def test_payment_mentions_are_whole_ids(spark):
-    logs = spark.createDataFrame([(1, '{"id":"pi_12","other":"pi_12"}'), (2, '{"id":"xpi_1"}')], "log_id bigint, request_body string")
-    assert [(r["log_id"], r["payment_ref"]) for r in D.payment_mentions(logs).collect()] == [(1, "pi_12")]
+@pytest.mark.parametrize("ids", [["pi_1", "pi_12", "pi_123_x", "pi_é"], ["aa", "aaa", "ab"], ["x", "yy"], ["only.one[1"]])
+def test_mentions_are_what_contains_finds(spark, ids):
+    """Inside longer words, overlapping, with other separators, and without a common beginning."""
+    rnd = random.Random(4)
+    pieces = [*ids, "pi_", "aaaa", "b", "_secret_", '"', "\n", "xpi_1y", "only.one[", "é"]
+    bodies = [(i, "".join(rnd.choices(pieces, k=rnd.randint(0, 7)))) for i in range(150)] + [(999, None), (998, "")]
+    refs = spark.createDataFrame([(x,) for x in ids], "payment_ref string")
+    logs = spark.createDataFrame(bodies, "log_id bigint, request_body string")
+    found = D.payment_mentions(logs, *D.id_shapes(refs, "payment_ref")).join(refs, "payment_ref")
+    want = sorted((i, x) for i, b in bodies for x in ids if b and x in b)
+    assert sorted((r.log_id, r.payment_ref) for r in found.collect()) == want
 
 
 def test_exports_and_roles(spark, tmp_path):
