@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlark.llm import common as C
 from ledgerlark.session import materialise
@@ -33,8 +34,7 @@ SHINGLE = 3
 BLOCK_BYTES = 4 << 20
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
-FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(SPAN)),
-          T.StructField("items", T.ArrayType(T.LongType()))]
+FIELDS = [T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(SPAN))]
 
 
 class Windows(NamedTuple):
@@ -121,7 +121,8 @@ def rarest(block: Windows, counts: dict[tuple[int, int], int]) -> np.ndarray:
     return np.where(least, block.shingles, np.uint64(2 ** 64 - 1)).argmin(axis=1)
 
 
-def _search(blocks: list[Windows], places: list[np.ndarray]):
+def _search(blocks: list[Windows], places: list[np.ndarray], names: pa.Array):
+    """``names`` are the ids of the items, which the windows know by number."""
     index = []
     for block, place in zip(blocks, places, strict=True):
         anchor = block.shingles[np.arange(len(place)), place]
@@ -169,7 +170,7 @@ def _search(blocks: list[Windows], places: list[np.ndarray]):
         borders = np.arange(texts.count + 1)
         return [pa.array(words.counts().astype(np.int64)),
                 pa.ListArray.from_arrays(pa.array(np.searchsorted(owner[begin], borders), pa.int32()), spans),
-                C.ragged(pairs[1], np.searchsorted(pairs[0], borders), pa.int64())]
+                pa.ListArray.from_arrays(pa.array(np.searchsorted(pairs[0], borders), pa.int32()), names.take(pa.array(pairs[1])))]
 
     return search
 
@@ -177,11 +178,17 @@ def _search(blocks: list[Windows], places: list[np.ndarray]):
 def find_passages(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "text", item: str = "item_id",
                   item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``carry`` and, per row, ``n_words``, ``spans`` of hit words, ``items`` found, ``n_hit`` and ``contaminated``
-    (a hit, and at least one word in twenty hit)."""
-    queries = benchmark.select(F.col(item).cast("bigint").alias("id"), F.coalesce(item_text, F.lit("")).cast("binary").alias("t"))
+    (a hit, and at least one word in twenty hit). Items keep the type of their ids; items of one id are one item.
+
+    A carried column that is named like one of these gives way to it. Very long texts are searched whole, each a chunk of its own; items
+    are taken in blocks of ``block_bytes``. An empty table of documents gives an empty result, without items nothing is hit.
+    """
+    carry = [c for c in carry if c.lower() not in ("n_words", "spans", "items", "n_hit", "contaminated")]
+    queries = benchmark.select(F.col(item).alias("id"), F.coalesce(item_text, F.lit("")).cast("binary").alias("t"))
     size = queries.agg(F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("n")).first()["n"]
     n_blocks = max(1, -(-size // block_bytes))
-    rows, keep = docs, list(carry)
+    rows, keep, kind = docs, list(carry), queries.schema["id"].dataType
+    fields = [*FIELDS, T.StructField("items", T.ArrayType(kind))]
     if n_blocks > 1:
         row = C.fresh(docs, "passage_row")[0]
         rows = materialise(docs.select(*dict.fromkeys([*carry, text])).withColumn(row, F.monotonically_increasing_id()), "passages")
@@ -189,12 +196,14 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, carry: list[str], text:
     found = []
     for b in range(n_blocks):
         part = queries.filter(F.pmod(F.xxhash64("id", "t"), F.lit(n_blocks)) == b).collect()
-        blocks = item_windows([r["id"] for r in part], [bytes(r["t"]) for r in part])
+        numbers = {x: i for i, x in enumerate(dict.fromkeys(r["id"] for r in part))}
+        blocks = item_windows([numbers[r["id"]] for r in part], [bytes(r["t"]) for r in part])
         counts = {}
         if blocks:
             counted = rows.select(F.col(text).cast("binary")).mapInArrow(_counter(blocks), "size bigint, key bigint, n bigint")
             counts = {(r["size"], r["key"]): r["n"] for r in counted.groupBy("size", "key").agg(F.sum("n").alias("n")).collect()}
-        found.append(C.map_texts(rows, keep, _search(blocks, [rarest(x, counts) for x in blocks]), FIELDS, text))
+        names = pa.array(list(numbers), to_arrow_type(kind))
+        found.append(C.map_texts(rows, keep, _search(blocks, [rarest(x, counts) for x in blocks], names), fields, text))
     out = found[0]
     if n_blocks > 1:
         merged = found[0]

@@ -106,11 +106,15 @@ def frequent_lines(lines: DataFrame, max_docs: int) -> DataFrame:
 def host_line_rules(docs: DataFrame, max_docs: int = 20, min_words: int = 10, max_removed: float = 0.5,
                     key: str = "doc_id", host: str = "source", text: str = "text") -> DataFrame:
     """Per row: the key, the plain counts, ``words_left`` after the host's frequent lines went, ``n_frequent_lines`` and
-    ``depleted`` (fewer than ``min_words`` left, or more than ``max_removed`` of the words gone)."""
-    base = C.map_texts(docs, list(dict.fromkeys([key, host])), measure, FIELDS, text)
+    ``depleted`` (fewer than ``min_words`` left, or more than ``max_removed`` of the words gone).
+
+    Any names will do for key, host and text; the host's column is left out where it is named like a result. Very long texts are
+    measured whole, each a chunk of its own. An empty table gives an empty result."""
+    named = docs.select(F.col(key).alias("the_key"), F.col(host).alias("the_host"), F.col(text).alias("the_text"))
+    base = C.map_texts(named, ["the_key", "the_host"], measure, FIELDS, "the_text")
     base = materialise(base.withColumn("row", F.monotonically_increasing_id()), "line-rules")
-    document = F.struct(F.col(key), F.when(F.col(key).isNull(), F.col("row")))
-    lines = base.select("row", document.alias("doc"), F.col(host).alias("host"), F.inline("lines"))
+    document = F.struct(F.col("the_key"), F.when(F.col("the_key").isNull(), F.col("row")))
+    lines = base.select("row", document.alias("doc"), F.col("the_host").alias("host"), F.inline("lines"))
     known = frequent_lines(lines, max_docs)
     same = F.col("a.host").eqNullSafe(F.col("b.host")) & (F.col("a.line") == F.col("b.line"))
     found = lines.alias("a").join(known.alias("b"), same)
@@ -118,5 +122,8 @@ def host_line_rules(docs: DataFrame, max_docs: int = 20, min_words: int = 10, ma
     judged = base.drop("lines").join(gone, "row", "left").fillna({"gone": 0, "n_frequent_lines": 0})
     left = F.col("n_words") - F.col("gone")
     depleted = (left < min_words) | (F.col("gone") > F.col("n_words") * F.lit(max_removed))
-    return judged.withColumns({"words_left": left, "depleted": depleted}).drop("row", "gone")
+    out = judged.withColumns({"words_left": left, "depleted": depleted}).drop("row", "gone")
+    results = [c for c in out.columns if c not in ("the_key", "the_host") and c.lower() != key.lower()]
+    shown = [] if host.lower() in (key.lower(), *(c.lower() for c in results)) else [F.col("the_host").alias(host)]
+    return out.select(F.col("the_key").alias(key), *shown, *results)
 

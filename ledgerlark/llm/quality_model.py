@@ -9,8 +9,9 @@ step needs only means over the data; a step after which that term would be negat
 training rows, made by Spark from one table of features; the driver holds a matrix of features by features.
 
 The prior is estimated from the same data: a first model is fitted with a low prior, and among the sets "score above t" the least
-ratio of the unlabelled to the positive share is the largest share of positives that the unlabelled can hold (shares of fewer
-than a tenth of the positives are too noisy and not used).
+ratio of the unlabelled to the positive share is the largest share of positives that the unlabelled can hold. Only sets that keep
+85 % of the positives or more are used, because ratios of smaller sets are noisy and their least one falls too low; a set that is left
+out can only have had a lower ratio, so the estimate errs towards a higher prior, which accepts more documents.
 
 Features are counts on the text alone: rates of symbols, capitals, digits and line ends, and shares of repeated words. A null
 or empty text has the features of an empty text and gets a score like any other. Rows that repeat count as often as they occur.

@@ -9,12 +9,16 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerlark.llm import decontaminate as D
 from ledgerlark.llm import exact_dup as E
+from ledgerlark.llm import line_rules, piece_tokens, secret_scan, suffix_tree
 from ledgerlark.llm import periodic_runs as P
 from ledgerlark.llm import turn_repair as R
 from ledgerlark.llm.common import Texts
 from ledgerlark.llm.queries_exact import damaged, planted
+from ledgerlark.llm.queries_models import PIECES
 
 LONG = "Lorem ipsum dolor " * 40_000
 SCHEMA = "doc_id bigint, text string, Kept string, keep_id string, fp_high string, n_words string, runs string, collapsed string, the_row string"
@@ -322,3 +326,39 @@ def test_damage_follows_the_rule(spark):
         want += [(c or -1, t or -1, role, text)] * {0: 0, 3: 2}.get(h, 1)
     got = [(r.conv_id or -1, r.turn or -1, r.role, r.text) for r in damaged(spark.createDataFrame(rows, CONV)).collect()]
     assert sorted(got) == sorted(want) and "A b c" in {r[3] for r in got}
+
+
+# Names and types that meet those of results
+
+
+CLASHES = ["n_words", "SPANS", "items", "n_hit", "contaminated", "secrets", "ids", "score", "n_tokens", "base_score", "x", "row", "lines", "words_left"]
+
+
+@pytest.mark.parametrize("name", ["passages", "secrets", "ids", "scores", "rules"])
+def test_extra_columns_named_like_results(spark, name):
+    rows = [(1, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen", "h"), (2, None, None), (2, "", "h")]
+    docs = spark.createDataFrame([(*r, *CLASHES) for r in rows], "doc_id bigint, text string, source string, " + ", ".join(f"{c} string" for c in CLASHES))
+    benchmark = spark.createDataFrame([("q-1", rows[0][1]), (None, "other words here")], "item_id string, text string")
+    made = {"passages": lambda: D.find_passages(docs, benchmark, docs.columns), "secrets": lambda: secret_scan.scan(docs, docs.columns),
+            "ids": lambda: piece_tokens.encode(docs, PIECES, docs.columns),
+            "scores": lambda: suffix_tree.score_texts(docs, F.lit(True), docs.columns),
+            "rules": lambda: line_rules.host_line_rules(docs.drop("source").withColumnRenamed("row", "lines_") , host="lines")}[name]()
+    out = made.collect()
+    assert len(out) == 3 and len({c.lower() for c in made.columns}) == len(made.columns)
+    if name == "passages":
+        assert [r["items"] for r in out if r.contaminated] == [["q-1"]]
+
+
+@pytest.mark.parametrize("host", ["row", "lines", "n_words", "host", "doc", "gone"])
+def test_hosts_may_have_any_name(spark, host):
+    rows = [(i, "a common line\nown words number " + "abcd"[i] * 3 + " x" * 10, "h") for i in range(4)]
+    docs = spark.createDataFrame(rows, f"doc_id bigint, text string, {host} string")
+    assert [r.n_frequent_lines for r in line_rules.host_line_rules(docs, max_docs=3, host=host).collect()] == [1] * 4
+
+
+def test_passages_over_several_blocks_with_string_ids(spark):
+    items = [(f"id-{i}", " ".join(f"w{i}x{j}" for j in range(20))) for i in range(9)] + [("id-0", "another text of the first id here")]
+    docs = spark.createDataFrame([(None, items[3][1] + " and " + items[7][1]), (5, None)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    got = D.find_passages(docs, benchmark, ["doc_id"], block_bytes=200).collect()
+    assert sorted((sorted(r["items"]), r.n_hit) for r in got) == [([], 0), (["id-3", "id-7"], 40)]
