@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.functions import expr as X
 from ledgerlark.operators.ranking import ranked
+from ledgerlark.plans.aggregates import with_two_distincts
 
 def ok():
     return F.col("is_successful")
@@ -89,17 +90,9 @@ def monthly_revenue_yoy(fact, dim_time, since_year: int, calendar_months: bool =
 
 def revenue_by_geography(fact, geography, since_key: int) -> DataFrame:
     total = F.sum("total_revenue").over(everything())
+    sold = from_day(fact, since_key).filter(ok()).join(geography, "geography_key")
     return (
-        from_day(fact, since_key).filter(ok())
-        .join(geography, "geography_key")
-        .groupBy("continent", "region", "country_name", "currency_code")
-        .agg(
-            F.sum("amount").alias("total_revenue"),
-            F.count("*").alias("transaction_count"),
-            F.countDistinct("customer_key").alias("unique_customers"),
-            F.countDistinct("merchant_key").alias("unique_merchants"),
-            X.mean("amount").alias("avg_transaction_value"),
-        )
+        _with_customers_and_merchants(sold, ["continent", "region", "country_name", "currency_code"])
         .withColumn("pct_of_total_revenue", X.pct("total_revenue", total))
         .withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("total_revenue"))))
         .orderBy(F.desc("total_revenue"))
@@ -561,18 +554,17 @@ def transaction_details(fact, dim_time, customers, merchants, geography, methods
 
 
 def geographic_revenue(fact, geography, dim_time) -> DataFrame:
+    sold = fact.filter(ok()).join(geography, "geography_key").join(dim_time, "time_key")
+    return _with_customers_and_merchants(sold, ["country_name", "region", "continent", "currency_code", "year", "quarter", "month"])
+
+
+def _with_customers_and_merchants(sold: DataFrame, by: list[str]) -> DataFrame:
+    counted = with_two_distincts(sold, by, {"unique_customers": "customer_key", "unique_merchants": "merchant_key"},
+                                 {"total_revenue": F.col("amount"), "_n_amount": F.col("amount").isNotNull().cast("bigint")})
     return (
-        fact.filter(ok())
-        .join(geography, "geography_key")
-        .join(dim_time, "time_key")
-        .groupBy("country_name", "region", "continent", "currency_code", "year", "quarter", "month")
-        .agg(
-            F.count("*").alias("transaction_count"),
-            F.sum("amount").alias("total_revenue"),
-            X.mean("amount").alias("avg_transaction_value"),
-            F.countDistinct("customer_key").alias("unique_customers"),
-            F.countDistinct("merchant_key").alias("unique_merchants"),
-        )
+        counted.withColumnRenamed("n", "transaction_count")
+        .withColumn("avg_transaction_value", X.ratio("total_revenue", "_n_amount"))
+        .drop("_n_amount")
     )
 
 

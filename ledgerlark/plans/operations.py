@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import expr as X
 from ledgerlark.operators.ranking import top_n, top_n_per_group
 from ledgerlark.operators.timeslice import previous_within
+from ledgerlark.plans.aggregates import with_two_distincts
 
 
 def live(df: DataFrame) -> DataFrame:
@@ -349,19 +350,22 @@ def method_performance(methods, transactions, as_of, months: int = 1) -> DataFra
 
 
 def geo_distribution(transactions, checks, as_of, months: int = 1) -> DataFrame:
-    return (
+    rows = (
         since(live(transactions), as_of, months, "MONTH")
         .filter(F.col("nationkey").isNotNull())
         .join(checks.select("transaction_id", "risk_score"), "transaction_id", "left")
-        .groupBy(F.col("nationkey").alias("country"))
-        .agg(
-            F.count("*").alias("transaction_count"),
-            F.countDistinct("customer_id").alias("unique_customers"),
-            F.countDistinct("merchant_id").alias("unique_merchants"),
-            X.sum_if(succeeded(), "amount").alias("total_volume"),
-            X.mean("amount").alias("avg_transaction_amount"),
-            X.mean("risk_score").alias("avg_risk_score"),
-        )
+        .withColumnRenamed("nationkey", "country")
+    )
+    counted = with_two_distincts(
+        rows, ["country"], {"unique_customers": "customer_id", "unique_merchants": "merchant_id"},
+        {"total_volume": F.when(succeeded(), F.col("amount")).otherwise(F.lit(0).cast("decimal(18,2)")),
+         "_amount": F.col("amount"), "_n_amount": F.col("amount").isNotNull().cast("bigint"),
+         "_risk": F.col("risk_score"), "_n_risk": F.col("risk_score").isNotNull().cast("bigint")})
+    return (
+        counted.withColumnRenamed("n", "transaction_count")
+        .withColumn("avg_transaction_amount", X.ratio("_amount", "_n_amount"))
+        .withColumn("avg_risk_score", X.ratio("_risk", "_n_risk"))
+        .drop("_amount", "_n_amount", "_risk", "_n_risk")
         .orderBy(F.desc("total_volume"))
     )
 
@@ -419,12 +423,12 @@ def customer_lifetime_value(transactions, customers, as_of) -> DataFrame:
 
 
 def method_diversity(customers, methods, more_than: int = 1) -> DataFrame:
-    """The list of types is ordered, so it is the same on every run."""
+    """The list of types is ordered, so it is the same on every run. Types and brands are short closed lists."""
     return (
         methods.groupBy("customer_id")
         .agg(
             F.countDistinct("payment_method_id").alias("total_payment_methods"),
-            F.countDistinct("card_brand").alias("different_brands"),
+            F.size(F.collect_set("card_brand")).alias("different_brands"),
             F.array_join(F.sort_array(F.collect_set("type")), ", ").alias("payment_types_used"),
             F.max("created_at").alias("last_method_added"),
         )
