@@ -80,25 +80,39 @@ def version_at(rows: DataFrame, dim: DataFrame, business_id: str, date: Column,
 
 
 # -- fact ------------------------------------------------------------------------------
-def load_fact(transactions, customers, merchants, methods, refunds, chargebacks, geography, loaded_at) -> DataFrame:
+def key_at(rows: DataFrame, dim: DataFrame, business_id: str, key: str, date: Column) -> DataFrame:
+    """Add the surrogate key of the version valid on ``date``; a dimension without versions gives its current row. -1 if there is none."""
+    if "effective_date" in dim.columns:
+        return version_at(rows, dim, business_id, date, [key], key)
+    return lookup_key(rows, dim, business_id, key, "is_current" if "is_current" in dim.columns else None)
+
+
+def load_fact(transactions, customers, merchants, methods, refunds, chargebacks, geography, loaded_at, products=None,
+              last_key: int | None = None) -> DataFrame:
     """Transactions as fact rows, stamped ``loaded_at``. Refunds and chargebacks are summed per transaction before the join.
 
-    Every dimension key that cannot be resolved is -1.
+    Keys are those of the dimension versions valid at the payment's time, so a reload of old payments gives the keys they had.
+    Every dimension key that cannot be resolved is -1; without ``products`` (product_id, product_key) there is no product key.
+    With ``last_key`` rows get consecutive ``transaction_key`` after it, in order of their id.
     """
+    day = F.to_date("created_at")
     back = refunds.filter("status = 'SUCCEEDED'").groupBy("transaction_id").agg(F.sum("amount").alias("refund_amount"))
     disputed = chargebacks.groupBy("transaction_id").agg(
         F.sum("amount").alias("chargeback_amount"), F.max(F.col("reason_code") == "fraudulent").alias("_fraud"))
-    rows = lookup_key(transactions, merchants, "merchant_id", "merchant_key")
+    rows = key_at(transactions, merchants, "merchant_id", "merchant_key", day)
     rows = lookup_key(rows, methods, "payment_method_id", "payment_method_key", None)
-    rows = lookup_key(rows, customers, "customer_id", "customer_key")
+    rows = key_at(rows, customers, "customer_id", "customer_key", day)
     rows = lookup_key(rows, geography, "nationkey", "geography_key", None)
+    if products is not None:
+        rows = lookup_key(rows, products, "product_id", "product_key", None)
     rows = rows.join(back, "transaction_id", "left").join(disputed, "transaction_id", "left")
     none = F.lit(0).cast("decimal(18,2)")
-    return rows.select(
+    loaded = rows.select(
         "transaction_id",
         X.date_key("created_at").alias("time_key"),
         "customer_key", "merchant_key", "payment_method_key",
         "geography_key",
+        *([] if products is None else ["product_key"]),
         "amount", "processing_fee", "net_amount",
         F.coalesce("refund_amount", none).alias("refund_amount"),
         F.coalesce("chargeback_amount", none).alias("chargeback_amount"),
@@ -111,6 +125,7 @@ def load_fact(transactions, customers, merchants, methods, refunds, chargebacks,
         X.ts(loaded_at).alias("inserted_at"),
         "updated_at",
     )
+    return loaded if last_key is None else dense_keys(loaded, "transaction_id", "transaction_key", last_key)
 
 
 def convert_currency(rows: DataFrame, rates: DataFrame, date: Column, target: str = "USD") -> DataFrame:

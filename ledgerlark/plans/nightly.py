@@ -48,8 +48,10 @@ def dated_load(log: DataFrame, root: str, run_date: str, name: str, key: str, ga
     marks, target = Watermarks(spark, f"{root}/watermarks"), T.PublishedTable(spark, f"{root}/{name}")
     last = None if force_full else marks.last(name)
     upper = log.filter(F.col("lsn") <= to_lsn) if to_lsn is not None else log
+    if last is not None:
+        upper = upper.filter(F.col("lsn") > last)
     newest = upper.agg(F.max("lsn").alias("lsn")).first()["lsn"]
-    if newest is None or (last is not None and newest <= last):
+    if newest is None:
         return {"run_date": run_date, "from_lsn": last, "to_lsn": last, "extracted": 0}
 
     net = L.net_changes(log, key, None if last is None else last + 1, newest)

@@ -100,7 +100,8 @@ def classify_risk_category(t):
 
 
 # -- fact -------------------------------------------------------------------------
-part("x_loaded", """SELECT transaction_id, year(t.created_at) * 10000 + month(t.created_at) * 100 + day(t.created_at) AS time_key,
+part("x_loaded", """SELECT transaction_id, row_number() OVER (ORDER BY transaction_id) + 500 AS transaction_key,
+    coalesce(pr.product_key, -1) AS product_key, year(t.created_at) * 10000 + month(t.created_at) * 100 + day(t.created_at) AS time_key,
     coalesce(c.customer_key, -1) AS customer_key, coalesce(m.merchant_key, -1) AS merchant_key,
     coalesce(p.payment_method_key, -1) AS payment_method_key, coalesce(g.geography_key, -1) AS geography_key, t.amount, t.processing_fee,
     t.net_amount, coalesce(r.v, 0) AS refund_amount, coalesce(b.v, 0) AS chargeback_amount,
@@ -108,26 +109,35 @@ part("x_loaded", """SELECT transaction_id, year(t.created_at) * 10000 + month(t.
     coalesce(b.fraud, FALSE) AS is_fraudulent, t.created_at AS transaction_datetime,
     TIMESTAMP '2001-08-01 00:00:00' AS inserted_at, t.updated_at
   FROM x_transactions t LEFT JOIN (SELECT geography_key, geography_key AS nationkey FROM x_geography WHERE region <> 'AFRICA') g USING (nationkey)
-   LEFT JOIN (SELECT * FROM x_customers WHERE NOT is_deleted) c USING (customer_id)
-  LEFT JOIN (SELECT * FROM x_merchants WHERE NOT is_deleted) m USING (merchant_id) LEFT JOIN x_methods p USING (payment_method_id)
+   LEFT JOIN (SELECT * FROM x_customers WHERE NOT is_deleted) c ON c.customer_id = t.customer_id
+    AND CAST(c.created_at AS DATE) <= CAST(t.created_at AS DATE)
+  LEFT JOIN (SELECT * FROM x_merchants WHERE NOT is_deleted) m ON m.merchant_id = t.merchant_id
+    AND CAST(m.created_at AS DATE) <= CAST(t.created_at AS DATE)
+  LEFT JOIN x_products pr ON pr.product_key = t.transaction_id % 3 LEFT JOIN x_methods p USING (payment_method_id)
   LEFT JOIN (SELECT transaction_id, sum(amount) AS v FROM x_refunds WHERE status = 'SUCCEEDED' GROUP BY 1) r USING (transaction_id)
   LEFT JOIN (SELECT transaction_id, sum(amount) AS v, bool_or(reason_code = 'fraudulent') AS fraud FROM x_chargebacks GROUP BY 1) b
     USING (transaction_id)""")
 
 
-def loaded_fact(t):
-    """The geography dimension does not know Africa yet."""
+def loaded_fact(t, last_key: int | None = None):
+    """The geography dimension does not know Africa yet; customers and merchants are valid from the day they came."""
+    def versions(dim):
+        return dim.filter("NOT is_deleted").withColumns(
+            {"effective_date": F.to_date("created_at"), "expiration_date": F.lit(None).cast("date")})
+
     places = t.geography().filter("region <> 'AFRICA'").select("geography_key", F.col("geography_key").alias("nationkey"))
-    return L.load_fact(t.transactions(), t.customers().filter("NOT is_deleted"), t.merchants().filter("NOT is_deleted"),
-                       t.payment_methods(), t.refunds(), t.chargebacks(), places, "2001-08-01 00:00:00")
+    products = t.products().select("product_key", F.col("product_key").cast("bigint").alias("product_id"))
+    return L.load_fact(t.transactions().withColumn("product_id", F.col("transaction_id") % 3), versions(t.customers()),
+                       versions(t.merchants()), t.payment_methods(), t.refunds(), t.chargebacks(), places, "2001-08-01 00:00:00",
+                       products, last_key)
 
 
 @query("load_fact",
-       "transaction_id:i time_key:i customer_key:i merchant_key:i payment_method_key:i geography_key:i amount:d "
-       "processing_fee:d net_amount:d refund_amount:d chargeback_amount:d is_successful:b is_refunded:b is_disputed:b "
+       "transaction_id:i transaction_key:i time_key:i customer_key:i merchant_key:i payment_method_key:i geography_key:i "
+       "product_key:i amount:d processing_fee:d net_amount:d refund_amount:d chargeback_amount:d is_successful:b is_refunded:b is_disputed:b "
        "is_fraudulent:b transaction_datetime:t inserted_at:t updated_at:t", "SELECT * FROM x_loaded")
 def load_fact(t):
-    return loaded_fact(t)
+    return loaded_fact(t, last_key=500)
 
 
 @query("surrogate_key_lookup", "transaction_id:i customer_id:i customer_key:i",
