@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerlark.functions import expr as X
 from ledgerlark.operators import sessions as S
 from ledgerlark.plans import documents as D
 from ledgerlark.registry import query
-from ledgerlark.registry.features import documents as feature_documents
+from ledgerlark.registry.features import document_store
 from ledgerlark.registry.fixture_sql import part
 from ledgerlark.sources.driver_tables import AS_OF_EVENTS as NOW
 
@@ -99,7 +100,7 @@ def engagement_by_device(t):
 def features_by_payment(t):
     """The newest payment's document."""
     newest = t.events().agg(F.max("event_id").alias("id")).scalar()
-    return D.features_by_payment(feature_documents(t), newest)
+    return D.features_by_payment(document_store(t).get(newest), newest)
 
 
 @query("doc_high_risk_payments",
@@ -109,7 +110,7 @@ def features_by_payment(t):
             ip_mismatch AS ip_country_mismatch
           FROM x_documents WHERE fraud_score >= 0.5 AND computed_at >= {AT} - INTERVAL 720 HOUR""")
 def high_risk_payments(t):
-    return D.high_risk_payments(feature_documents(t), NOW, hours=720, at_least=0.5)
+    return D.high_risk_payments(document_store(t).read(X.ago(NOW, 720, "HOUR")), NOW, hours=720, at_least=0.5)
 
 
 @query("doc_fraud_patterns",
@@ -121,7 +122,7 @@ def high_risk_payments(t):
             count(*) FILTER (card_mismatch) AS card_mismatch_count, count(*) FILTER (ip_mismatch) AS ip_mismatch_count
           FROM x_documents WHERE computed_at >= {AT} - INTERVAL 7 DAY GROUP BY 1, 2""")
 def fraud_patterns(t):
-    return D.fraud_patterns(feature_documents(t), NOW)
+    return D.fraud_patterns(document_store(t).read(X.ago(NOW, 7, "DAY")), NOW)
 
 
 @query("doc_dispute_customers", "customer_id:i disputes:i payment_count:i avg_fraud_score:r",
@@ -129,7 +130,7 @@ def fraud_patterns(t):
             CAST(sum(CAST(fraud_score AS DECIMAL(9,4))) AS DOUBLE) / count(*) AS avg_fraud_score
           FROM x_documents WHERE customer_dispute_history > 0 AND computed_at >= {AT} - INTERVAL 90 DAY GROUP BY 1, 2""")
 def dispute_customers(t):
-    return D.customers_with_disputes(feature_documents(t), NOW)
+    return D.customers_with_disputes(document_store(t).read(X.ago(NOW, 90, "DAY")), NOW)
 
 
 @query("doc_webhooks_to_retry", "webhook_id:i merchant_id:i event_type:s retry_count:i next_retry_at:t",

@@ -8,8 +8,10 @@ from ledgerlark.operators import addresses as A
 from ledgerlark.operators import features as M
 from ledgerlark.operators import scoring as N
 from ledgerlark.operators.ranking import latest_per_key
+from ledgerlark.plans.feature_store import FeatureStore
 from ledgerlark.registry import query
 from ledgerlark.registry.fixture_sql import part
+from ledgerlark.session import materialise, scratch
 
 RULES = M.Rules(
     high_risk_countries=("FR",),
@@ -170,6 +172,29 @@ def documents(t):
     return M.feature_document(vector(t), N.risk_probability(), "rules-1")
 
 
+_stores: dict[tuple[str, str], FeatureStore] = {}
+
+
+def document_store(t) -> FeatureStore:
+    """The documents of all payments, computed and stored at their first use in a session."""
+    place = (t.spark.sparkContext.applicationId, t.path)
+    if place not in _stores:
+        store = FeatureStore(t.spark, scratch(t.spark, "documents"), buckets=8)
+        store.upsert(documents(t), 1)
+        _stores[place] = store
+    return _stores[place]
+
+
+@query("feature_store_payments", "payment_id:i customer_id:i fraud_score:r risk_level:s computed_at:t", "SELECT * FROM x_documents")
+def feature_store_payments(t):
+    """A first batch with scores of yesterday, then all documents again; both written, the later computation of each payment read."""
+    found = materialise(documents(t), "documents")
+    store = FeatureStore(t.spark, scratch(t.spark, "documents"), buckets=8)
+    store.upsert(found.withColumn("computed_at", F.expr("computed_at - INTERVAL 1 DAY")).withColumn("fraud_score", F.col("fraud_score") * 0), 2)
+    store.upsert(found, 1)
+    return store.read()
+
+
 @query("feature_document",
        "feature_id:s payment_id:i customer_id:i merchant_id:i computed_at:t fraud_score:r risk_level:s velocity_1h:i "
        "velocity_24h:i avg_amount_30d:r stddev_amount_30d:r card_mismatch:b ip_mismatch:b customer_dispute_history:i "
