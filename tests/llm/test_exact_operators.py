@@ -362,3 +362,50 @@ def test_passages_over_several_blocks_with_string_ids(spark):
     benchmark = spark.createDataFrame(items, "item_id string, text string")
     got = D.find_passages(docs, benchmark, ["doc_id"], block_bytes=200).collect()
     assert sorted((sorted(r["items"]), r.n_hit) for r in got) == [([], 0), (["id-3", "id-7"], 40)]
+
+
+# Texts without the frequent lines of their host
+
+
+def plain_removal(rows, max_docs, min_words, max_removed):
+    def form(part):
+        return " ".join(re.findall(r"[^\x20\x09-\x0d]+", re.sub("[0-9]", "0", lowered(part))))
+
+    holders = {}
+    for n, (doc, text, host) in enumerate(rows):
+        for part in (text or "").split("\n"):
+            if form(part):
+                holders.setdefault((host, form(part)), set()).add(("row", n) if doc is None else doc)
+    frequent = {k for k, docs in holders.items() if len(docs) > max_docs}
+    out = []
+    for doc, text, host in rows:
+        parts = (text or "").split("\n")
+        kept = [p for p in parts if (host, form(p)) not in frequent]
+        n, left = (sum(len(form(p).split()) for p in some) for some in (parts, kept))
+        if left >= min_words and n - left <= n * max_removed:
+            out.append((doc, "\n".join(kept), host))
+    return sorted(out, key=repr)
+
+
+def test_texts_without_frequent_lines_brute_force(spark):
+    rnd = random.Random(11)
+    common = ["Read 12 more\tposts", "read 99 MORE posts ", "Share this", " ", "", "\r", "ärmer 7 Ä", "a b c d e f g"]
+    rows = [(rnd.choice([i, i, i // 2, None]),
+             "\n".join(rnd.choice([*common, f"own line {rnd.choice('xyz')} of words"]) for _ in range(rnd.randint(0, 9))),
+             rnd.choice(["h", "h", "g", None])) for i in range(300)]
+    rows += [(900, None, "h"), (901, "", None), (902, "Share this\n" + "one two " * 60_000, "h"), (903, rows[0][1], "h"), (904, rows[0][1], "h")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)
+    for limits in ((8, 3, 0.5), (8, 0, 1.0), (1000, 0, 1.0)):
+        got = line_rules.without_frequent_lines(docs, *limits)
+        assert sorted((tuple(r) for r in got.collect()), key=repr) == plain_removal(rows, *limits)
+
+
+def test_texts_without_frequent_lines_under_clashing_names(spark):
+    rows = [(i, "a common line\nown words number " + "abcd"[i] * 3 + " x" * 10, "h") for i in range(4)]
+    extra = ["text_mark", "host_mark", "gone_lines", "the_key", "row", "lines", "line", "gone", "n_words", "doc"]
+    docs = spark.createDataFrame([(*r, *extra) for r in rows],
+                                 "Id bigint, Body string, host string, " + ", ".join(f"{c} string" for c in extra))
+    got = line_rules.without_frequent_lines(docs, 3, key="id", host="HOST", text="body")
+    assert got.columns == docs.columns
+    assert sorted(tuple(r) for r in got.collect()) == [(i, t.split("\n")[1], h, *extra) for i, t, h in rows]
+    assert line_rules.without_frequent_lines(docs.limit(0), key="Id", host="host", text="Body").count() == 0
