@@ -196,8 +196,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, carry: list[str], text:
     found = []
     for b in range(n_blocks):
         part = queries.filter(F.pmod(F.xxhash64("id", "t"), F.lit(n_blocks)) == b).collect()
-        numbers = {x: i for i, x in enumerate(dict.fromkeys(r["id"] for r in part))}
-        blocks = item_windows([numbers[r["id"]] for r in part], [bytes(r["t"]) for r in part])
+        numbers = {x: i for i, x in enumerate(dict.fromkeys(r["id"] for r in part if r["id"] is not None))}
+        blocks = item_windows([numbers.get(r["id"]) for r in part], [bytes(r["t"]) for r in part])
         counts = {}
         if blocks:
             counted = rows.select(F.col(text).cast("binary")).mapInArrow(_counter(blocks), "size bigint, key bigint, n bigint")
