@@ -100,14 +100,39 @@ def forbidden_columns(spark: SparkSession, schema: StructType, name: str, forbid
     return spark.createDataFrame(rows, "rule string, table_name string, failed bigint, total bigint, passed boolean")
 
 
-def schema_matches(spark: SparkSession, actual: StructType, expected: StructType, name: str) -> DataFrame:
-    """One row per expected column: present with the same type."""
+def held_values(table: DataFrame, name: str, forbidden: Sequence[str] = FORBIDDEN_COLUMNS,
+                required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
+    """``forbidden_columns`` counted in rows: those that hold a value they must not, and those that lack one they must have.
+
+    One pass over the columns in question. An empty table passes; its columns are for ``forbidden_columns`` to judge."""
+    have = {c.lower().replace("_", ""): c for c in table.columns}
+
+    def column(c):
+        return have.get(c.lower().replace("_", ""))
+
+    rules = {f"no {c}": F.col(f"`{column(c)}`").isNull() if column(c) else F.lit(True) for c in forbidden}
+    rules |= {f"has {c}": F.col(f"`{column(c)}`").isNotNull() if column(c) else F.lit(False) for c in required}
+    return check_rules(table, name, rules)
+
+
+def _schema_verdicts(actual: StructType, expected: StructType) -> dict[str, bool]:
     types = {f.name: f.dataType for f in actual}
-    rows = [(f"{f.name} is {f.dataType.simpleString()}", name, int(types.get(f.name) != f.dataType), 1,
-             types.get(f.name) == f.dataType) for f in expected]
+    names = set(expected.fieldNames())
+    return {**{f"{f.name} is {f.dataType.simpleString()}": types.get(f.name) == f.dataType for f in expected},
+            **{f"{c} is declared": False for c in types if c not in names}}
+
+
+def schema_matches(spark: SparkSession, actual: StructType, expected: StructType, name: str) -> DataFrame:
+    """One row per expected column: present with the same type; and a failed one per column that nobody declared."""
+    rows = [(rule, name, int(not fine), 1, fine) for rule, fine in _schema_verdicts(actual, expected).items()]
     return spark.createDataFrame(rows, "rule string, table_name string, failed bigint, total bigint, passed boolean")
 
 
+def rows_off_schema(table: DataFrame, name: str, expected: StructType) -> DataFrame:
+    """``schema_matches`` with the rows that a deviation concerns, all of them, from the row count alone."""
+    return check_rules(table, name, {rule: F.lit(fine) for rule, fine in _schema_verdicts(table.schema, expected).items()})
+
+
 def union_results(*results: DataFrame) -> DataFrame:
     out = results[0]
     for r in results[1:]:

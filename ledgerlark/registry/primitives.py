@@ -161,6 +161,17 @@ def scan_json_docs(t):
                              "k": F.variant_get("request_body", "$.props.k", "bigint")})
 
 
+@query("replace_staging", "status:s payments:i amount:d",
+       "SELECT status, count(*) AS payments, sum(amount) AS amount FROM x_transactions WHERE status <> 'SUCCEEDED' GROUP BY status")
+def replace_staging(t):
+    """A staging table that held all payments, emptied and filled with those that did not succeed."""
+    path = scratch(t.spark, "staged")
+    rows = t.transactions().select("transaction_id", "status", "amount")
+    T.replace_staging(rows, path)
+    T.replace_staging(rows.filter("status <> 'SUCCEEDED'"), path)
+    return T.scan(t.spark, path, rows.schema).groupBy("status").agg(F.count("*").alias("payments"), F.sum("amount").alias("amount"))
+
+
 @query("staging_folders", "run_date:s transaction_id:i amount:d",
        """SELECT CAST(CAST(date_trunc('month', created_at) AS DATE) AS VARCHAR) AS run_date, transaction_id, amount
           FROM x_transactions""")

@@ -162,15 +162,15 @@ def pseudonymise(t):
 
 
 part("x_incidents", """SELECT merchant_id AS incident_id, CAST(sum(latency_ms) AS BIGINT) AS records, max(latency_ms) > 20000 AS has_pii,
-    max(latency_ms) > 32000 AS has_payment_data FROM x_logs WHERE status_code >= 500 AND latency_ms < 400 GROUP BY 1""")
+    max(latency_ms) > 32000 AS has_payment_data FROM x_logs WHERE status_code >= 500 GROUP BY 1""")
 
 
 @query("breach_severity", "incident_id:i records:i has_pii:b has_payment_data:b severity:s",
        """SELECT *, CASE WHEN records > 10000 OR has_payment_data THEN 'High' WHEN records >= 100 OR has_pii THEN 'Medium'
             ELSE 'Low' END AS severity FROM x_incidents""")
 def breach_severity(t):
-    """One incident per merchant with fast server errors; the latencies stand for exposed records."""
-    failed = t.api_logs().filter("status_code >= 500 AND latency_ms < 400")
+    """One incident per merchant with server errors; the latencies stand for exposed records."""
+    failed = t.api_logs().filter("status_code >= 500")
     incidents = failed.groupBy(F.col("merchant_id").alias("incident_id")).agg(
         F.sum("latency_ms").alias("records"), (F.max("latency_ms") > 20000).alias("has_pii"),
         (F.max("latency_ms") > 32000).alias("has_payment_data"))
@@ -180,7 +180,7 @@ def breach_severity(t):
 @query("breach_subjects", "customer_id:i email:s",
        "SELECT customer_id, email FROM x_customers WHERE customer_id IN (SELECT incident_id FROM x_incidents)")
 def breach_subjects(t):
-    failed = t.api_logs().filter("status_code >= 500 AND latency_ms < 400").select(F.col("merchant_id").alias("customer_id"))
+    failed = t.api_logs().filter("status_code >= 500").select(F.col("merchant_id").alias("customer_id"))
     return P.affected_subjects(failed, t.customers())
 
 

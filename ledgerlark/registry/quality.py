@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlark.operators import quality as Q
 from ledgerlark.registry import query
@@ -131,6 +132,32 @@ def email_format(t):
                            Q.email_format(t.merchants(), "supplier names", "business_name"))
 
 
+@query("dq_forbidden_columns", RULE,
+       counted(("no acctbal", "customer", "c_acctbal IS NOT NULL", "customer"), ("no birth_date", "customer", "FALSE", "customer"),
+               ("has c_name", "customer", "c_name IS NULL", "customer"), ("has email", "customer", "TRUE", "customer"),
+               ("no date_of_birth", "transactions", "FALSE", "x_transactions"),
+               ("no failure_code", "transactions", "failure_code IS NOT NULL", "x_transactions"),
+               ("has failure_code", "transactions", "failure_code IS NULL", "x_transactions")))
+def forbidden_columns(t):
+    """Rows of two tables that hold what they must not, under any spelling of the name, or lack what they must have."""
+    customer = t.raw("customer").withColumnRenamed("c_acctbal", "AcctBal")
+    return Q.union_results(Q.held_values(customer, "customer", ["acctbal", "birth_date"], ["c_name", "email"]),
+                           Q.held_values(t.transactions(), "transactions", ["date_of_birth", "failure_code"], ["failure_code"]))
+
+
+DECLARED = "c_custkey BIGINT, c_name STRING, c_nationkey BIGINT, c_phone STRING, c_acctbal DOUBLE"
+
+
+@query("dq_schema_match", RULE,
+       counted(("c_custkey is bigint", "customer", "FALSE", "customer"), ("c_name is string", "customer", "FALSE", "customer"),
+               ("c_nationkey is bigint", "customer", "typeof(c_nationkey) <> 'BIGINT'", "customer"),
+               ("c_phone is string", "customer", "TRUE", "customer"), ("c_acctbal is double", "customer", "FALSE", "customer"),
+               ("c_mktsegment is declared", "customer", "TRUE", "customer")))
+def schema_match(t):
+    """A table against a declaration that has one column more, one less and one of another type."""
+    return Q.rows_off_schema(t.raw("customer"), "customer", StructType.fromDDL(DECLARED))
+
+
 @query("dq_gate", "version:i status:s rows:i amount:d",
        """SELECT 1 AS version, status, count(*) AS rows, sum(amount) AS amount FROM x_transactions
           WHERE NOT is_deleted GROUP BY status""")

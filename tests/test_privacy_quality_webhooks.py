@@ -102,6 +102,17 @@ def test_schema_rules(spark):
     assert failed == {"no date_of_birth", "has country_code"}
     other = spark.createDataFrame([], "customer_id int").schema
     assert not Q.schema_matches(spark, df.schema, other, "c").first()["passed"]
+    got = {r["rule"]: r["passed"] for r in Q.schema_matches(spark, df.schema, df.select("customer_id", "Email").schema, "c").collect()}
+    assert got == {"customer_id is bigint": True, "Email is string": True, "DateOfBirth is declared": False}
+
+
+def test_rows_that_break_the_schema_rules(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, "x"), (3, "c", "y")], "customer_id bigint, Email string, `Date_Of.Birth` string")
+    got = {r["rule"]: (r["failed"], r["total"]) for r in Q.held_values(df, "c", ["date_of.birth", "gender"], ["e_mail", "country_code"]).collect()}
+    assert got == {"no date_of.birth": (2, 3), "no gender": (0, 3), "has e_mail": (1, 3), "has country_code": (3, 3)}
+    off = Q.rows_off_schema(df, "c", df.select("customer_id").schema).filter("NOT passed")
+    assert sorted((r["rule"], r["failed"]) for r in off.collect()) == [("Date_Of.Birth is declared", 3), ("Email is declared", 3)]
+    assert all(r["passed"] for r in Q.held_values(df.limit(0), "c").collect())
 
 
 def test_declared_tables_parse_and_rules_compile(spark):

@@ -23,7 +23,7 @@ SAMPLE = (
 )
 # Their callables run jobs (streams, published tables, training) before they return.
 EAGER = ("stream_", "train_", "batch_score", "feature_importance", "tune", "dated_load", "cdc_watermark", "dq_gate",
-         "overwrite_", "archive_", "feature_store_payments", "refresh_stored", "partitioned_", "staging_", "scan_json", "compare_models", "olap_merchant_leaderboard")
+         "overwrite_", "replace_staging", "archive_", "feature_store_payments", "refresh_stored", "partitioned_", "staging_", "scan_json", "compare_models", "olap_merchant_leaderboard")
 
 
 @pytest.fixture(scope="module")
