@@ -19,6 +19,7 @@ from ledgerlark.registry.fixture_sql import part
 from ledgerlark.session import scratch
 from ledgerlark.sources.driver_tables import API_LOG_COLUMNS, PAYMENT_COLUMNS
 from ledgerlark.streaming import jobs as J
+from ledgerlark.streaming.changes import ChangeStore
 from ledgerlark.streaming import scoring as L
 from ledgerlark.streaming import stateful as K
 
@@ -148,12 +149,11 @@ def stream_score_decide(t):
 @query("stream_cdc_apply", "payment_id:i status:s amount:d", "SELECT * FROM x_net")
 def stream_cdc_apply(t):
     """The change log as a feed of files, in log order."""
-    feed, table = scratch(t.spark, "feed"), scratch(t.spark, "applied")
+    feed, store = scratch(t.spark, "feed"), ChangeStore(t.spark, scratch(t.spark, "applied"), "payment_id", buckets=8)
     log = t.change_log()
-    log.repartitionByRange(4, "lsn").write.parquet(feed)
-    J.run_each_batch(J.file_stream(t.spark, feed, log.schema, files_per_batch=2), "cdc-apply",
-                     J.upsert_by_lsn(table, "payment_id"))
-    return J.current_rows(t.spark, table)
+    log.repartitionByRange(6, "lsn").write.parquet(feed)
+    J.run_each_batch(J.file_stream(t.spark, feed, log.schema, files_per_batch=2), "cdc-apply", store.handler(fold_every=2))
+    return store.read()
 
 
 @query("stream_join_payment_logs", "payment_id:i merchant_id:i paid_at:t log_id:i logged_at:t status_code:i",

@@ -92,6 +92,21 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
 def discard(*tables: DataFrame) -> None:
     """Remove what ``materialise`` wrote for ``tables``. Nothing may still read them, also not a frame that is yet to be evaluated."""
     for table in tables:
-        jvm = table.sparkSession._jvm
-        place = jvm.org.apache.hadoop.fs.Path(table.work_path)
-        place.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+        remove_folder(table.sparkSession, table.work_path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` and all below it, on whatever file system it lies."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in ``path``; none where it is missing."""
+    files, place = _place(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
