@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from check_oracle import database, normal
 from ledgerlark.llm import decontaminate, line_dedup, line_rules, near_dup, piece_tokens, pseudonyms, quality_model, secret_scan, sharding
-from ledgerlark.llm import suffix_tree
+from ledgerlark.llm import common, suffix_tree
 from ledgerlark.llm.common import bucket
 from ledgerlark.llm.queries_models import PIECES
 from ledgerlark.llm.registry import CHECKS, QUERIES, load_all
@@ -452,6 +452,31 @@ def test_tree_grows_with_the_corpus(spark):
     assert deeper[0] >= whole[0] - 0.1 and deeper.keys() == whole.keys()
 
 
+def test_words_by_eight_bytes_are_told_apart():
+    """Words of every length around eight bytes and a long one, next to borders of texts; same words get same hashes, others do not."""
+    words = [("aB\u00e9" * 60)[:k] for k in range(1, 150)] + ["A", "ab", "a\x00", "a\x00\x00", "[", "@z`"]
+    texts = [" ".join(words), "\t".join(reversed(words)), "", "x", words[-1]]
+    found, plain = common.lower_words(chunk(texts)), common.words_of(chunk(texts), common.NOT_SPACE, common.LOWER)
+    for mine, its in zip(found[1:], plain[1:], strict=True):
+        assert mine.tolist() == its.tolist()
+    lower = [w.translate(str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})) for t in texts for w in re.findall(r"[^\x20\x09-\x0D]+", t)]
+    assert len(set(zip(lower, found.hashes.tolist(), strict=True))) == len(set(lower)) == len(set(found.hashes.tolist()))
+
+
+def test_held_numbers_are_found_and_no_others(spark):
+    """Sparse and crowded keys, numbers on either side of what a byte holds, parts without keys; a key is undone to its symbol."""
+    rng = np.random.default_rng(5)
+    for keys in (rng.integers(-1 << 63, 1 << 63, 20_000), np.arange(-300, 300) << 3, np.array([7]), np.zeros(0, np.int64)):
+        keys = np.unique(keys[(keys != -1)])
+        n = np.where(np.arange(len(keys)) % 7 == 0, 254 + np.arange(len(keys)), 1 + np.arange(len(keys)) % 254)
+        rows = spark.createDataFrame([*zip(keys.tolist(), n.tolist(), strict=True)], "word bigint, n bigint")
+        held = suffix_tree.Held.of(rows)
+        assert len(held) == len(keys) and held.n(keys).tolist() == n.tolist()
+        assert not held.n(np.setdiff1d(np.concatenate([keys + 1, keys - 1, [0, -1]]), keys)).any()
+        assert len(held.keys) <= 1.2 * len(keys) + 4 * 64 + 600
+        assert suffix_tree.ungrown(keys, suffix_tree.grown(keys, n))[keys != 0].tolist() == n[keys != 0].tolist()
+
+
 def test_scores_of_awkward_rows(spark, awkward, nothing):
     out = suffix_tree.score_texts(awkward, F.lit(True), ["doc_id"]).collect()
     assert len(out) == awkward.count() and all(np.isfinite(r.score) and r.n_known == r.n_tokens for r in out)
