@@ -139,7 +139,9 @@ def _inside(rows: DataFrame, bounds: DataFrame, keys: Sequence[str], value: str)
 
     low, high = F.floor("_rank"), F.ceil("_rank")
     found = ranked_values.groupBy(*keys, "_point", "_rank").agg(at(low).alias("_a"), at(high).alias("_b"))
-    return found.select(*keys, "_point", (F.col("_a") + (F.col("_rank") - F.floor("_rank")) * (F.col("_b") - F.col("_a"))).alias("_x"))
+    # As ``percentile`` adds them up, to the last bit.
+    between = (high - F.col("_rank")) * F.col("_a") + (F.col("_rank") - low) * F.col("_b")
+    return found.select(*keys, "_point", F.when(F.col("_a") == F.col("_b"), F.col("_a").cast("double")).otherwise(between).alias("_x"))
 
 
 def percentiles_within(rows: DataFrame, sketched: DataFrame, keys: Sequence[str], value: str, sketch: str,

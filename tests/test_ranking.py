@@ -67,6 +67,12 @@ def test_exact_percentiles(spark, monkeypatch, margin):
     assert got.count() == len(groups)
 
 
+def test_exact_percentiles_are_sparks_to_the_last_bit(spark):
+    rows = spark.createDataFrame([(s // 300, s * 7919 % 1009) for s in range(0, 1500, 3)], "k bigint, v bigint")
+    got = {r.k: r.p99 for r in R.exact_percentiles(rows, ["k"], "v", {"p99": 0.99}).collect()}
+    assert got == {r.k: r.p99 for r in rows.groupBy("k").agg(F.percentile("v", F.lit(0.99)).alias("p99")).collect()}
+
+
 def test_pages_cover_everything_once(spark):
     df = spark.createDataFrame([(i,) for i in (9, 4, 7, 1, 3)], "id bigint")
     last, seen = None, []
