@@ -100,6 +100,17 @@ def latest_per_key(df: DataFrame, keys: list[str], *order: str) -> DataFrame:
     )
 
 
+# -- distinct counts ----------------------------------------------------------------
+def distinct_estimates(df: DataFrame, keys: Sequence[str], columns: Mapping[str, str], error: float = 0.01) -> DataFrame:
+    """``keys`` and one estimate of distinct values per entry of ``columns`` (name: column), as ``approx_count_distinct`` gives them.
+
+    A sketch of one percent is 13 kilobytes, so a task must not make one for every group of the table. Rows of a group are brought
+    together before they are sketched; a partition of a busy group is cut, and its sketches are merged.
+    """
+    together = df.select(*dict.fromkeys([*keys, *columns.values()])).hint("rebalance", *keys)
+    return together.groupBy(*keys).agg(*[F.approx_count_distinct(c, error).alias(name) for name, c in columns.items()])
+
+
 # -- exact percentiles ---------------------------------------------------------------
 #: Size of the sketches; their rank error is about 2.3 / k ** 0.9, well below the margin on either side.
 SKETCH_K = 800

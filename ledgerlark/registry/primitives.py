@@ -72,13 +72,16 @@ def multi_dim_cube(t):
           FROM x_transactions GROUP BY 1""")
 def approx_distinct(t):
     """The estimates next to exact counts: within 5 %, or 3 for small counts."""
-    def close(column, exact):
-        return F.abs(F.approx_count_distinct(column, 0.01) - exact) <= F.greatest(0.05 * exact, F.lit(3))
+    def close(estimate, exact):
+        return F.abs(F.col(estimate) - F.col(exact)) <= F.greatest(0.05 * F.col(exact), F.lit(3))
 
-    customers = F.count_distinct("customer_id")
-    return t.transactions().groupBy("merchant_id").agg(
-        customers.alias("customers"), close("customer_id", customers).alias("customers_close"),
-        close("transaction_id", F.count("transaction_id")).alias("payments_close"))
+    rows = t.transactions()
+    pairs = rows.groupBy("merchant_id", "customer_id").agg(F.count("transaction_id").alias("payments"))
+    exact = pairs.groupBy("merchant_id").agg(F.count("customer_id").alias("customers"), F.sum("payments").alias("payments"))
+    estimates = R.distinct_estimates(rows, ["merchant_id"], {"about_customers": "customer_id", "about_payments": "transaction_id"})
+    return exact.join(estimates.withColumnRenamed("merchant_id", "_m"), F.col("merchant_id").eqNullSafe(F.col("_m"))).select(
+        "merchant_id", "customers", close("about_customers", "customers").alias("customers_close"),
+        close("about_payments", "payments").alias("payments_close"))
 
 
 BACK = "(PARTITION BY customer_id ORDER BY ts RANGE BETWEEN INTERVAL {} PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING)"

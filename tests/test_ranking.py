@@ -80,3 +80,20 @@ def test_pages_cover_everything_once(spark):
         seen += page
         last = page[-1]
     assert seen == [1, 3, 4, 7, 9]
+
+
+def test_distinct_estimates_make_one_sketch_per_group(spark):
+    """Sketches are made of groups that were brought together, not of pairs (of a group and a value)."""
+    from ledgerlark.registry import primitives
+    from ledgerlark.sources.driver_tables import PaymentTables
+    from conftest import DATA
+
+    rows = spark.createDataFrame([("a", i % 700, i) for i in range(3000)] + [(None, 1, 1), (None, None, 2), ("b", None, None)],
+                                 "k string, x int, y int").repartition(5)
+    got = R.distinct_estimates(rows, ["k"], {"nx": "x", "ny": "y"})
+    want = rows.groupBy("k").agg(F.approx_count_distinct("x", 0.01).alias("nx"), F.approx_count_distinct("y", 0.01).alias("ny"))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    plan = primitives.approx_distinct(PaymentTables(spark, DATA))._jdf.queryExecution().executedPlan().toString()
+    sketching = [line for line in plan.splitlines() if "approx_count_distinct" in line and "keys=[" in line]
+    assert sketching and not any("customer_id" in line.split("keys=[")[1].split("]")[0] for line in sketching)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
