@@ -129,6 +129,29 @@ def test_interval_join_bounds(spark):
     assert [r["payment_ref"] for r in J.run_available(joined, "join").collect()] == ["pi_1"]
 
 
+PAID, SAID = "merchant_id bigint, payment_ref string, paid_at timestamp", "merchant_id bigint, payment_ref string, logged_at timestamp"
+
+
+def test_joined_batches_equal_the_stream_join(spark):
+    """Rows of one and of several batches, late rows, a row without time, repeated rows; no state store is used."""
+    def at(*seconds):
+        return [(1, f"pi_{s % 7}", None if s is None else T0 + dt.timedelta(seconds=s)) for s in seconds]
+
+    paid = [at(0, 30, 30), at(500, 10), at(2000, 505, 20), at(2050, 30, 700), [(2, "pi_1", None)]]
+    said = [at(60, 91, 37), at(507, 40, 470), at(2030, 0, 560), at(2044, 2099, 30), at(9000)]
+
+    def frames():
+        return J.watermarked(feed(spark, PAID, *paid), "paid_at"), J.watermarked(feed(spark, SAID, *said), "logged_at")
+
+    want = rows(J.run_available(J.joined_logs(*frames()), "stream-join"))
+    path = scratch(spark, "batches")
+    got = rows(J.run_joined_logs(*frames(), "batch-join", path=path))
+    assert sorted(got) == sorted(want) and len(got) > 4
+    from ledgerlark.session import folder_names
+    assert "state" not in folder_names(spark, f"{path}/checkpoint")
+    assert "batch=0" not in folder_names(spark, f"{path}/rows") and "batch=4" in folder_names(spark, f"{path}/rows")
+
+
 def test_malformed_rows_are_marked(spark):
     df = spark.createDataFrame([('{"k": 1}',), ("{broken",), ('{"k": "x"}',)], "props string")
     assert [r["malformed"] for r in J.conversion(df, "props", "k BIGINT").collect()] == [False, True, True]
