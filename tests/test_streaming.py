@@ -152,6 +152,21 @@ def test_joined_batches_equal_the_stream_join(spark):
     assert "batch=0" not in folder_names(spark, f"{path}/rows") and "batch=4" in folder_names(spark, f"{path}/rows")
 
 
+def test_velocity_by_slides_equals_the_stream_windows(spark):
+    """Several batches with late payments, null customers and amounts; no state store is used, and old slides are removed."""
+    import random
+    from ledgerlark.session import folder_names
+
+    rnd, schema = random.Random(3), "ts timestamp, customer_id bigint, amount_minor bigint"
+    batches = [[(T0 + dt.timedelta(seconds=at + rnd.randrange(-6000, 3000)), rnd.choice([1, 2, None]), rnd.choice([5, 7, None]))
+                for _ in range(12)] + [(None, 1, 1)] for at in (0, 2000, 9000, 9500, 30000)]
+    want = rows(J.run_available(J.velocity(J.watermarked(feed(spark, schema, *batches))), "windows"))
+    path = scratch(spark, "slides")
+    got = rows(J.run_velocity(J.watermarked(feed(spark, schema, *batches)), "slides", path=path))
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) > 100
+    assert "state" not in folder_names(spark, f"{path}/checkpoint") and "batch=0" not in folder_names(spark, f"{path}/panes")
+
+
 def test_malformed_rows_are_marked(spark):
     df = spark.createDataFrame([('{"k": 1}',), ("{broken",), ('{"k": "x"}',)], "props string")
     assert [r["malformed"] for r in J.conversion(df, "props", "k BIGINT").collect()] == [False, True, True]
